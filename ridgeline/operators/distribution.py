@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions.scalars import bin_label, equal_width_bin, right_closed_bin
 from ridgeline.operators.profiling import columns_of_type, unpivoted, zero_rate
-from ridgeline.operators.quantiles import CELL_LIMIT, exact_quantiles, fits_builtin
+from ridgeline.operators.quantiles import exact_quantiles
 
 
 def zero_rate_by_bin(df: DataFrame, target: str, column: str, edges: Sequence[float]) -> DataFrame:
@@ -63,36 +63,34 @@ def scatter_grid(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
 
 
 def target_by_category(
-    df: DataFrame, features: Sequence[str], target: str, top: int = 10, cell_limit: int = CELL_LIMIT
+    df: DataFrame, features: Sequence[str], target: str, top: int = 10
 ) -> DataFrame:
     """Count, mean and median of the target for the categories with the highest mean.
 
     (feature, category, place, count, mean, median), ``top`` places per feature.
-    Where the table is large the places are settled first, so exact medians are
-    looked for in at most ``top`` groups per feature.
+    The places are settled first, so exact medians are looked for in at most
+    ``top`` groups per feature, however many categories there are.
     """
+    y = F.col(target).cast("double")
     cells = F.array(
         *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category")) for c in features]
     )
-    long = df.select(F.inline(cells), F.col(target).cast("double").alias("y"))
-    long = long.filter(F.col("category").isNotNull())
-    groups = long.groupBy("feature", "category")
     order = Window.partitionBy("feature").orderBy(F.col("mean").desc(), F.col("category"))
-    place = F.row_number().over(order).cast("long")
-    count, mean = F.count("y").alias("count"), F.avg("y").alias("mean")
-    if fits_builtin(df, len(features), cell_limit):
-        return (
-            groups.agg(count, mean, F.percentile("y", F.lit(0.5)).alias("median"))
-            .withColumn("place", place)
-            .filter(F.col("place") <= top)
-        )
-    leaders = groups.agg(count, mean).withColumn("place", place).filter(F.col("place") <= top)
-    names = [(r["feature"], r["category"]) for r in leaders.select("feature", "category").collect()]
-    wanted = df.sparkSession.createDataFrame(names, "feature string, category string")
-    members = long.join(F.broadcast(wanted), ["feature", "category"])  # ``top`` rows per feature
-    medians = exact_quantiles(members, ["y"], [0.5], by=["feature", "category"], cell_limit=cell_limit)
+    leaders = (
+        df.select(F.inline(cells), y.alias("y"))
+        .filter(F.col("category").isNotNull())
+        .groupBy("feature", "category")
+        .agg(F.count("y").alias("count"), F.avg("y").alias("mean"))
+        .withColumn("place", F.row_number().over(order).cast("long"))
+        .filter(F.col("place") <= top)
+    )
+    spark = df.sparkSession
+    found = spark.createDataFrame(leaders.collect(), leaders.schema)  # ``top`` rows per feature
+    wanted = found.select("feature", "category")
+    members = df.select(F.inline(cells), y.alias("y")).join(F.broadcast(wanted), ["feature", "category"])
+    medians = exact_quantiles(members, ["y"], [0.5], by=["feature", "category"])
     medians = medians.select("feature", "category", F.col("value").alias("median"))
-    return leaders.join(medians, ["feature", "category"], "left")
+    return found.join(medians, ["feature", "category"], "left")
 
 
 def correlation_with_target(df: DataFrame, target: str, exclude: Sequence[str] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridgeline.functions.scalars import percent, percent_text
-from ridgeline.operators.quantiles import CELL_LIMIT, INTERVAL_LIMIT, exact_quantiles
+from ridgeline.operators.quantiles import INTERVAL_LIMIT, exact_quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -72,7 +72,6 @@ def describe(
     df: DataFrame,
     columns: Sequence[str],
     by: Sequence[str] = (),
-    cell_limit: int = CELL_LIMIT,
     interval_limit: int = INTERVAL_LIMIT,
 ) -> DataFrame:
     """count, mean, sample std, min, quartiles and max; one row per column.
@@ -95,7 +94,7 @@ def describe(
     moments = df.groupBy(*by).agg(*measures) if by else df.agg(*measures)
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.*")) for c in columns])
     moments = moments.select(*by, F.inline(rows))
-    cuts = exact_quantiles(df, columns, QUARTILES, by, cell_limit, interval_limit)
+    cuts = exact_quantiles(df, columns, QUARTILES, by, interval_limit)
     at = {p: F.max(F.when(F.col("prob") == p, F.col("value"))) for p in QUARTILES}
     quartiles = cuts.groupBy(*by, "column").agg(
         at[0.25].alias("q25"), at[0.5].alias("q50"), at[0.75].alias("q75")
@@ -139,13 +138,11 @@ def zero_rate(df: DataFrame, target: str, *by: str | Column) -> DataFrame:
     return counted.withColumn("zero_percent", percent(F.col("zero_count"), F.col("total")))
 
 
-def describe_by_zero(
-    df: DataFrame, target: str, columns: Sequence[str], cell_limit: int = CELL_LIMIT
-) -> DataFrame:
+def describe_by_zero(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """Describe the rows with target 0 and those above 0 in one scan."""
     t = F.col(target)
     flagged = df.withColumn("subset", F.when(t == 0, "zero").when(t > 0, "positive"))
-    return describe(flagged.filter(F.col("subset").isNotNull()), columns, by=["subset"], cell_limit=cell_limit)
+    return describe(flagged.filter(F.col("subset").isNotNull()), columns, by=["subset"])
 
 
 def dataset_summary(df: DataFrame, target: str) -> DataFrame:

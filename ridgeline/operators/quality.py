@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions.scalars import percent
 from ridgeline.operators.profiling import describe, unpivoted
-from ridgeline.operators.quantiles import CELL_LIMIT, exact_quantiles
+from ridgeline.operators.quantiles import exact_quantiles
 
 IQR_FACTOR = 1.5
 
@@ -52,9 +52,9 @@ def rule_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return unpivoted(counted, "rule", "n", {f"r{i}": r.name for i, r in enumerate(rules)})
 
 
-def iqr_fences(df: DataFrame, columns: Sequence[str], cell_limit: int = CELL_LIMIT) -> DataFrame:
+def iqr_fences(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, q1, q3, lower, upper) with fences 1.5 IQR off the quartiles."""
-    cuts = exact_quantiles(df, columns, (0.25, 0.75), cell_limit=cell_limit)
+    cuts = exact_quantiles(df, columns, (0.25, 0.75))
     q1 = F.max(F.when(F.col("prob") == 0.25, F.col("value")))
     q3 = F.max(F.when(F.col("prob") == 0.75, F.col("value")))
     spread = F.lit(IQR_FACTOR) * (F.col("q3") - F.col("q1"))
@@ -66,21 +66,21 @@ def iqr_fences(df: DataFrame, columns: Sequence[str], cell_limit: int = CELL_LIM
     )
 
 
-def _fence_values(df: DataFrame, columns: Sequence[str], cell_limit: int) -> dict[str, dict[str, Column]]:
+def _fence_values(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, Column]]:
     """The fences as literals: five numbers per column, which a scan can push down."""
-    rows = iqr_fences(df, columns, cell_limit).collect()
+    rows = iqr_fences(df, columns).collect()
     names = ("q1", "q3", "lower", "upper")
     found = {r["column"]: {n: F.lit(r[n]).cast("double") for n in names} for r in rows}
     absent = {n: F.lit(None).cast("double") for n in names}
     return {c: found.get(c, absent) for c in columns}
 
 
-def iqr_outliers(df: DataFrame, columns: Sequence[str], cell_limit: int = CELL_LIMIT) -> DataFrame:
+def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fences, outlier count and outlier percentage per column.
 
     One pass finds the quartiles of all columns, one counts against them.
     """
-    fences = _fence_values(df, columns, cell_limit)
+    fences = _fence_values(df, columns)
     counted = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *[
@@ -100,23 +100,19 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], cell_limit: int = CELL_L
     return counted.select(F.inline(F.array(*cells)))
 
 
-def above_upper_fence(df: DataFrame, column: str, cell_limit: int = CELL_LIMIT) -> DataFrame:
+def above_upper_fence(df: DataFrame, column: str) -> DataFrame:
     """Rows above the upper fence of ``column``, with the fence as ``threshold``."""
-    fence = _fence_values(df, [column], cell_limit)[column]["upper"]
+    fence = _fence_values(df, [column])[column]["upper"]
     return df.filter(F.col(column) > fence).withColumn("threshold", fence)
 
 
-def upper_outlier_describe(
-    df: DataFrame, column: str, describe_columns: Sequence[str], cell_limit: int = CELL_LIMIT
-) -> DataFrame:
+def upper_outlier_describe(df: DataFrame, column: str, describe_columns: Sequence[str]) -> DataFrame:
     """Describe the rows above the fence, which is shown with every line."""
-    high = above_upper_fence(df, column, cell_limit)
-    return describe(high, describe_columns, by=["threshold"], cell_limit=cell_limit)
+    high = above_upper_fence(df, column)
+    return describe(high, describe_columns, by=["threshold"])
 
 
-def upper_outlier_top(
-    df: DataFrame, column: str, tie_break: str, n: int = 20, cell_limit: int = CELL_LIMIT
-) -> DataFrame:
+def upper_outlier_top(df: DataFrame, column: str, tie_break: str, n: int = 20) -> DataFrame:
     """The ``n`` largest rows above the fence."""
-    high = above_upper_fence(df, column, cell_limit).drop("threshold")
+    high = above_upper_fence(df, column).drop("threshold")
     return high.orderBy(F.col(column).desc(), F.col(tie_break)).limit(n)

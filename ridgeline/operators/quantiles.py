@@ -1,175 +1,192 @@
 """Exact, linearly interpolated quantiles that hold at any table size.
 
-The built-in ``percentile`` is exact but merges a map of all distinct values of
-a group in one task. It is used while the table is counted to be small. Beyond
-that the wanted ranks are narrowed down by counting: every round is one scan
-with a small, map-side combined histogram, and no value leaves its task until
-the interval that holds a rank is known to contain few rows.
+Spark's own exact percentile merges a map of all distinct values of a group in
+one task. Here the wanted ranks are narrowed down by counting: every round is
+one scan with a small, map-side combined histogram, and no value leaves its task
+until the interval that holds a rank is known to contain few rows. A column
+whose ranks are settled is not read again, and the bounds of the open intervals
+are literals that the scan can push down.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Cells (rows x columns) up to which the built-in aggregate is used, and rows an
-# interval may hold before its values are ranked one by one.
-CELL_LIMIT = 4_000_000
+# Rows an interval may hold before its values are ranked one by one.
 INTERVAL_LIMIT = 1_000_000
+# Slices an interval is cut into per round.
 FANOUT = 1024
 
 
+@dataclass(frozen=True)
+class _Rank:
+    """One order statistic: the ``rank``-th value of the rows inside [low, high]."""
+
+    group: tuple
+    column: int
+    prob: float
+    weight: float
+    upper: bool
+    rank: int
+    low: float
+    high: float
+    rows: int
+
+    @property
+    def interval(self) -> tuple:
+        return self.group, self.column, self.low, self.high
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    cell_limit: int = CELL_LIMIT,
     interval_limit: int = INTERVAL_LIMIT,
 ) -> DataFrame:
     """Rows (by..., column, prob, value); NULLs are left out of the ranking.
 
-    The number of groups of ``by`` must be small (a flag, a top-10 list): each
-    group adds ranks that are looked for.
+    The number of groups of ``by`` must be small (a flag, a top-10 list): every
+    group adds ranks that are looked for. ``df`` is scanned two or three times
+    for usual data, six at most, so hand in a scan or a staged frame.
     """
-    if df.count() * len(columns) <= cell_limit:
-        return _builtin(df, columns, probs, by)
-    return _narrowed(df, columns, probs, by, interval_limit)
-
-
-def fits_builtin(df: DataFrame, n_columns: int, cell_limit: int = CELL_LIMIT) -> bool:
-    return df.count() * n_columns <= cell_limit
-
-
-def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows (by..., column, value) of the non-missing numeric cells."""
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    by = list(by)
+    ranks = _first_round(df, columns, probs, by)
+    while open_ranks := [r for r in ranks if r.low < r.high and r.rows > interval_limit]:
+        ranks = [r for r in ranks if r not in open_ranks] + _sliced(df, columns, by, open_ranks)
+    settled = [r for r in ranks if r.low == r.high] + _ranked(
+        df, columns, by, [r for r in ranks if r.low < r.high]
     )
-    return df.select(*by, F.inline(cells)).filter(F.col("value").isNotNull())
+    ends = {(r.group, r.column, r.prob, r.upper): r.low for r in settled}
+    lines = []
+    for r in settled:
+        if not r.upper:
+            top = ends[r.group, r.column, r.prob, True]
+            lines.append((*r.group, columns[r.column], r.prob, r.low + (top - r.low) * r.weight))
+    fields = "".join(f"`{b}` {df.schema[b].dataType.simpleString()}, " for b in by)
+    return df.sparkSession.createDataFrame(lines, f"{fields}`column` string, prob double, value double")
 
 
-def _builtin(df, columns, probs, by) -> DataFrame:
-    p = F.array(*[F.lit(float(x)) for x in probs])
-    wide = df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), p).alias(c) for c in columns])
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"), F.lit(float(q)).alias("prob"), F.get(F.col(c), F.lit(i)).alias("value")
-        )
-        for c in columns
-        for i, q in enumerate(probs)
-    ]
-    return wide.select(*by, F.inline(F.array(*cells)))
-
-
-def _magnitude(v):
+def _magnitude(v: Column) -> Column:
     """Order-preserving whole number: 16 steps per power of two, either sign.
 
     At most some 70,000 different numbers exist for doubles, a few hundred in
     practice, and every step spans less than 5 % of its values.
     """
-    step = F.floor(F.least(F.log2(F.abs(v)), F.lit(1100.0)) * 16) + 20000
-    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("long") * step)
+    step = F.floor(F.least(F.log2(F.abs(v)), F.lit(1100.0)) * 16).cast("int") + 20000
+    return F.when(v > 0, step).when(v < 0, -step).otherwise(0)
 
 
-def _same(names):
-    return reduce(lambda a, b: a & b, [F.col(f"v.{n}").eqNullSafe(F.col(f"k.{n}")) for n in names])
+def _cells() -> tuple[Column, ...]:
+    """Count and bounds of the values that fall into a histogram cell."""
+    return F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")
 
 
-def _pick(histogram: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """For every wanted rank, the histogram cell that contains it.
+def _first_round(df, columns, probs, by) -> list[_Rank]:
+    """The magnitude step of the two neighbouring ranks of every probability.
 
-    ``histogram`` has (keys..., cell, rows, lo, hi), ``wanted`` (keys..., rank)
-    and a row per rank looked for, so it is broadcast; the result carries the
-    rank counted from the start of the cell.
+    One histogram serves all columns and groups; two rows per group, column and
+    probability come back.
     """
-    order = Window.partitionBy(*keys).orderBy("cell")
-    running = histogram.withColumn("upto", F.sum("rows").over(order))
-    before = F.col("upto") - F.col("rows")
-    return (
-        running.alias("v")
-        .join(F.broadcast(wanted.alias("k")), _same(keys))
-        .filter((F.col("rank") >= before) & (F.col("rank") < F.col("upto")))
-        .select(
-            *[F.col(f"k.{c}") for c in wanted.columns if c != "rank"],
-            (F.col("rank") - before).alias("rank"),
-            "lo",
-            "hi",
-            "rows",
-        )
+    histogram = (
+        _values(df, columns, range(len(columns)), by)
+        .groupBy(*by, "number", _magnitude(F.col("value")).alias("cell"))
+        .agg(*_cells())
     )
-
-
-def _first_round(values: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """The magnitude cell of the two neighbouring ranks of every probability."""
-    histogram = values.groupBy(*keys, _magnitude(F.col("value")).alias("cell")).agg(
-        F.count(F.lit(1)).alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
-    group = Window.partitionBy(*keys)
+    group = Window.partitionBy(*by, "number")
     before = F.col("upto") - F.col("rows")
     position = F.col("prob") * (F.col("n") - 1)
-    return (
+    found = (
         histogram.withColumn("upto", F.sum("rows").over(group.orderBy("cell")))
         .withColumn("n", F.sum("rows").over(group))
         .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("weight", position - F.floor(position))
-        .withColumn("end", F.explode(F.array(F.lit("low"), F.lit("high"))))
-        .withColumn("rank", F.when(F.col("end") == "low", F.floor(position)).otherwise(F.ceil(position)))
+        .withColumn("upper", F.explode(F.array(F.lit(False), F.lit(True))))
+        .withColumn("rank", F.when(F.col("upper"), F.ceil(position)).otherwise(F.floor(position)))
         .filter((F.col("rank") >= before) & (F.col("rank") < F.col("upto")))
-        .select(*keys, "prob", "weight", "end", (F.col("rank") - before).alias("rank"), "lo", "hi", "rows")
+        .withColumn("rank", F.col("rank") - before)
     )
+    return [
+        _Rank(
+            tuple(r[b] for b in by), r["number"], r["prob"], r["weight"], r["upper"],
+            r["rank"], r["low"], r["high"], r["rows"],
+        )
+        for r in found.collect()
+    ]
 
 
-def _narrowed(df, columns, probs, by, interval_limit) -> DataFrame:
-    spark = df.sparkSession
-    keys = [*by, "column"]
-    values = long_values(df, columns, by)
-
-    # Round 1: one histogram by magnitude serves all columns and groups. What
-    # comes back are two rows per group, column and probability.
-    first = _first_round(values, keys, probs)
-    schema, found = first.schema, first.collect()
-
-    def is_open(r) -> bool:
-        return r["lo"] < r["hi"] and r["rows"] > interval_limit
-
-    def inside(rows):
-        """Values within the intervals of ``rows``; as few intervals as above."""
-        wanted = spark.createDataFrame(rows, schema).withColumnsRenamed({"lo": "from", "hi": "to"}).drop("rows")
-        cells = wanted.select(*keys, "from", "to").distinct()
-        fits = _same(keys) & F.col("v.value").between(F.col("k.from"), F.col("k.to"))
-        joined = values.alias("v").join(F.broadcast(cells.alias("k")), fits)
-        return joined.select(*[F.col(f"k.{c}").alias(c) for c in [*keys, "from", "to"]], F.col("v.value")), wanted
-
-    interval = [*keys, "from", "to"]
-    # Further rounds: equal slices of every interval that still holds too many rows.
-    while any(is_open(r) for r in found):
-        rows, wanted = inside([r for r in found if is_open(r)])
-        slot = F.floor((F.col("value") - F.col("from")) / (F.col("to") - F.col("from")) * FANOUT)
-        histogram = rows.groupBy(*interval, F.least(slot, F.lit(FANOUT - 1)).alias("cell")).agg(
-            F.count(F.lit(1)).alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi")
-        )
-        picked = _pick(histogram, wanted, interval).select(*schema.names).collect()
-        found = [r for r in found if not is_open(r)] + picked
-
-    # What is left is counted: rank the values of each small interval.
-    names = [*keys, "prob", "weight", "end", "value"]
-    done = [r for r in found if r["lo"] == r["hi"]]
-    resolved = spark.createDataFrame(done, schema).withColumn("value", F.col("lo")).select(*names)
-    if len(done) < len(found):
-        rows, wanted = inside([r for r in found if r["lo"] < r["hi"]])
-        exact = rows.groupBy(*interval, F.col("value").alias("cell")).agg(F.count(F.lit(1)).alias("rows"))
-        exact = exact.withColumn("lo", F.col("cell")).withColumn("hi", F.col("cell"))
-        ranked = _pick(exact, wanted, interval).withColumn("value", F.col("lo"))
-        resolved = resolved.unionByName(ranked.select(*names))
-
-    low = F.max(F.when(F.col("end") == "low", F.col("value")))
-    high = F.max(F.when(F.col("end") == "high", F.col("value")))
-    return (
-        resolved.groupBy(*keys, "prob", "weight")
-        .agg(low.alias("low"), high.alias("high"))
-        .select(*keys, "prob", (F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")).alias("value"))
+def _values(df: DataFrame, columns: Sequence[str], numbers: Sequence[int], by: Sequence[str]) -> DataFrame:
+    """Rows (by..., number, value) of the chosen columns, number being the column's place."""
+    cells = [F.struct(F.lit(i).alias("number"), F.col(columns[i]).cast("double").alias("value")) for i in numbers]
+    return df.select(*by, F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+
+
+def _inside(df, columns, by, intervals) -> DataFrame:
+    """(number, value, low, width) of the values within each interval, numbered by its place.
+
+    The intervals are a local table with a row per rank looked for at most. Only
+    their columns are read, and rows outside all of them fail a literal filter.
+    """
+    numbers = sorted({i[1] for i in intervals})
+    spans = {(i[1], i[2], i[3]) for i in intervals}
+    if by:  # one span per column keeps the filter short when there are many groups
+        spans = {(n, min(s[1] for s in spans if s[0] == n), max(s[2] for s in spans if s[0] == n)) for n in numbers}
+    tests = [F.col(columns[n]).cast("double").between(low, high) for n, low, high in sorted(spans)]
+    values = _values(df.filter(reduce(lambda a, b: a | b, tests)), columns, numbers, by)
+    fields = "".join(f"`{b}` {df.schema[b].dataType.simpleString()}, " for b in by)
+    table = df.sparkSession.createDataFrame(
+        [(*group, n, low, high, k) for k, (group, n, low, high) in enumerate(intervals)],
+        f"{fields}number int, low double, high double, place int",
+    )
+    same = reduce(lambda a, b: a & b, [F.col(f"v.{n}").eqNullSafe(F.col(f"i.{n}")) for n in (*by, "number")])
+    joined = values.alias("v").join(
+        F.broadcast(table.alias("i")), same & F.col("value").between(F.col("low"), F.col("high"))
     )
+    return joined.select(F.col("place").alias("number"), "value", "low", (F.col("high") - F.col("low")).alias("width"))
+
+
+def _located(counted: DataFrame, ranks: Sequence[_Rank], intervals: list) -> list[_Rank]:
+    """Move every rank into the cell of its interval's histogram that contains it."""
+    order = Window.partitionBy("number").orderBy("cell")
+    before = F.col("upto") - F.col("rows")
+    wanted = counted.sparkSession.createDataFrame(
+        [(k, intervals.index(r.interval), r.rank) for k, r in enumerate(ranks)], "k int, number int, rank long"
+    )
+    found = (
+        counted.withColumn("upto", F.sum("rows").over(order))
+        .join(F.broadcast(wanted), "number")  # one row per rank looked for
+        .filter((F.col("rank") >= before) & (F.col("rank") < F.col("upto")))
+        .select("k", (F.col("rank") - before).alias("rank"), "low", "high", "rows")
+    )
+    out = []
+    for f in found.collect():
+        r = ranks[f["k"]]
+        out.append(
+            _Rank(r.group, r.column, r.prob, r.weight, r.upper, f["rank"], f["low"], f["high"], f["rows"])
+        )
+    return out
+
+
+def _sliced(df, columns, by, ranks) -> list[_Rank]:
+    """Cut intervals that hold too many rows into equal slices."""
+    intervals = sorted({r.interval for r in ranks}, key=str)
+    share = (F.col("value") - F.col("low")) / F.col("width")
+    slot = F.least(F.floor(share * FANOUT).cast("int"), F.lit(FANOUT - 1))
+    counted = _inside(df, columns, by, intervals).groupBy("number", slot.alias("cell")).agg(*_cells())
+    return _located(counted, ranks, intervals)
+
+
+def _ranked(df, columns, by, ranks) -> list[_Rank]:
+    """Settle ranks whose intervals are small: count their single values."""
+    if not ranks:
+        return []
+    intervals = sorted({r.interval for r in ranks}, key=str)
+    values = _inside(df, columns, by, intervals)
+    counted = values.groupBy("number", F.col("value").alias("cell")).agg(F.count(F.lit(1)).alias("rows"))
+    exact = counted.withColumn("low", F.col("cell")).withColumn("high", F.col("cell"))
+    return _located(exact, ranks, intervals)

@@ -22,6 +22,9 @@ FEWEST_PARTITIONS = 8
 # Memory for node statistics per pass over the data. More nodes per pass means
 # fewer passes for deep forests of many trees.
 NODE_MEMORY_MB = 1024
+# Remembering every row's node in every tree saves walking down from the root in
+# each pass, for 4 bytes per row and tree; done while that stays below this.
+NODE_ID_BYTES = 64 * 2**30
 
 
 @dataclass(frozen=True)
@@ -76,6 +79,7 @@ class kept:
 def fit_forest(
     train: DataFrame, config: ForestConfig, label: str, features: str = "features", seed: int = SEED
 ) -> RandomForestRegressionModel:
+    """Fit on ``train``, which should be persisted: it is counted and then read repeatedly."""
     forest = RandomForestRegressor(
         featuresCol=features,
         labelCol=label,
@@ -83,6 +87,7 @@ def fit_forest(
         maxDepth=DEEPEST if config.depth is None else config.depth,
         minInstancesPerNode=config.min_leaf,
         maxMemoryInMB=NODE_MEMORY_MB,
+        cacheNodeIds=train.count() * config.trees * 4 <= NODE_ID_BYTES,
         seed=seed,
     )
     return forest.fit(train)

@@ -18,7 +18,7 @@ from ridgeline.operators.matching import require_reconciled
 from ridgeline.operators.splitting import stratified_split
 from ridgeline.sources.files import require_columns, write_small_csv, write_table
 from ridgeline.sources.run_info import run_info, write_run_info
-from ridgeline.sources.scratch import staged
+from ridgeline.sources.scratch import spread, staged
 
 
 @dataclass
@@ -39,7 +39,9 @@ def prepare(df: DataFrame, roles: Roles, encoder: str = "keep", scale: bool = Fa
 
     ``encoder`` is "keep" (a slot for unknown levels) or "ignore" (all zeros).
     ``scale`` applies to "keep": the whole vector, at the price of dense rows.
+    Hand in a scan, or projections of one.
     """
+    df = spread(df, roles.id)
     train = df.filter(F.col("split") == SPLITS[0])
     if encoder == "ignore":
         model, seconds = R.timed(lambda: X.fit_ignore_unknown(train, roles))

@@ -47,6 +47,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A scan with at least one partition per core, for work that costs much per row.
+
+    A large table has that many file splits already and is returned unchanged;
+    a small one is redistributed by ``key``.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted, key)
+
+
 def held_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """``df`` as a local table if it has at most ``max_rows`` rows, else unchanged.
 
