@@ -11,24 +11,23 @@ from ridgeline.functions.scalars import agrees
 
 
 def _unique(df: DataFrame, key: str, side: str) -> DataFrame:
-    """One row per key; running it fails on a repeated or missing key.
+    """One row per key; running it fails on a repeated key.
 
     The grouping hashes by the key, which the following join needs anyway, so
     the check adds no shuffle; copies of a hot key are combined before it.
     """
     others = [c for c in df.columns if c != key]
     grouped = df.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(c) for c in others])
-    problem = F.format_string(f"{side}: {key} %s is missing or not unique", F.col(key).cast("string"))
-    valid = F.when((F.col("_copies") == 1) & F.col(key).isNotNull(), F.lit(True)).otherwise(
-        F.raise_error(problem).cast("boolean")
-    )
+    problem = F.format_string(f"{side}: {key} %s is not unique", F.col(key).cast("string"))
+    valid = F.when(F.col("_copies") == 1, F.lit(True)).otherwise(F.raise_error(problem).cast("boolean"))
     return grouped.filter(valid).select(key, *others)
 
 
 def one_to_one_join(left: DataFrame, right: DataFrame, key: str, suffixes: tuple[str, str]) -> DataFrame:
     """Inner join that fails unless the key is unique on both sides.
 
-    Columns both sides have get the suffixes.
+    Columns both sides have get the suffixes. A missing key matches nothing;
+    ``reconcile`` counts such rows.
     """
     shared = [c for c in left.columns if c in right.columns and c != key]
     sides = [

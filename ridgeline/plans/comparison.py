@@ -6,12 +6,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridgeline.functions.scalars import depth_text
 from ridgeline.model import Roles
 from ridgeline.operators import comparison as C
 from ridgeline.operators import importance as I
-from ridgeline.sources.files import require_columns, write_small_csv, write_table
+from ridgeline.sources.files import read_csv, require_columns, write_small_csv, write_table
+from ridgeline.sources.run_info import parse_run_info
+
 
 @dataclass(frozen=True)
 class Run:
@@ -22,6 +25,7 @@ class Run:
     mode: str
     metrics: DataFrame
     search: DataFrame
+    search_place: str
     search_metric: str
     search_seconds: str
     label: Column
@@ -38,6 +42,40 @@ def forest_label(trees: str, depth: str, leaf: str | None = None) -> Column:
     return F.concat(*parts)
 
 
+PREDICTION_SCHEMA = "{id} long, actual_{target} double, predicted_{target} double"
+METRIC_SCHEMA = "split string, n long, MAE double, RMSE double, R2 double"
+SEARCH_SCHEMA = (
+    "place long, trees int, depth int, min_leaf int, validation_MAE double, validation_RMSE double, "
+    "validation_R2 double, fit_seconds double, predict_seconds double"
+)
+IMPORTANCE_SCHEMA = "feature string, importance double"
+
+
+def load_run(
+    spark: SparkSession, out: str, name: str, framework: str, roles: Roles, with_run_info: bool = True
+) -> Run:
+    """The exported tables of a training run."""
+
+    def csv(table: str, ddl: str) -> DataFrame:
+        return read_csv(spark, f"{out}/{table}", T.StructType.fromDDL(ddl))
+
+    predictions = T.StructType.fromDDL(PREDICTION_SCHEMA.format(id=roles.id, target=roles.target))
+    return Run(
+        name=name,
+        framework=framework,
+        mode=spark.sparkContext.master,
+        metrics=csv("metrics", METRIC_SCHEMA),
+        search=csv("param_search_results", SEARCH_SCHEMA),
+        search_place="place",
+        search_metric="validation_RMSE",
+        search_seconds="fit_seconds",
+        label=forest_label("trees", "depth", "min_leaf"),
+        importances=csv("feature_importance", IMPORTANCE_SCHEMA),
+        predictions=spark.read.schema(predictions).parquet(f"{out}/test_predictions"),
+        run_info=parse_run_info(spark, f"{out}/run_info/text") if with_run_info else None,
+    )
+
+
 def comparison_tables(first: Run, second: Run, roles: Roles) -> dict[str, DataFrame]:
     """All tables of the comparison; ``second`` is judged against ``first``."""
     runs = (first, second)
@@ -56,7 +94,7 @@ def comparison_tables(first: Run, second: Run, roles: Roles) -> dict[str, DataFr
     rolled = I.importance_rollup(encoded, roles.features).orderBy("model", "rank", "feature")
     summary = None
     for r in runs:
-        best = C.best_configuration(r.search.withColumn("_place", F.monotonically_increasing_id()), r.search_metric, "_place", r.label, r.search_seconds)
+        best = C.best_configuration(r.search, r.search_metric, r.search_place, r.label, r.search_seconds)
         line = C.summary_row(best, r.name, r.framework, r.mode, r.run_info)
         summary = line if summary is None else summary.unionByName(line)
     return {
