@@ -127,13 +127,9 @@ def summary_row(
     time, the empty run time and ``mode``.
     """
     row = best.withColumns({"model": F.lit(model), "framework": F.lit(framework)})
-    if run_info is None:
-        times = {"pipeline_time_s": F.lit(None).cast("double"), "execution_mode": F.lit(mode)}
-        return row.withColumns(times).select(*SUMMARY_COLUMNS)
-    info = run_info.select("final_train_time_s", F.col("pipeline_time_s"), "spark_master")
-    return (
-        row.crossJoin(F.broadcast(info))  # one row each
-        .withColumn("best_train_time_s", F.col("final_train_time_s"))
-        .withColumn("execution_mode", F.coalesce("spark_master", F.lit(mode)))
-        .select(*SUMMARY_COLUMNS)
-    )
+    info = run_info.first() if run_info is not None else None
+    if info is not None:
+        row = row.withColumn("best_train_time_s", F.lit(info["final_train_time_s"]).cast("double"))
+        mode = info["spark_master"] or mode
+    whole = F.lit(info["pipeline_time_s"] if info is not None else None).cast("double")
+    return row.withColumns({"pipeline_time_s": whole, "execution_mode": F.lit(mode)}).select(*SUMMARY_COLUMNS)

@@ -19,46 +19,46 @@ def zero_rate_by_bin(df: DataFrame, target: str, column: str, edges: Sequence[fl
     return rates.withColumn("bin", bin_label(F.col("bin_number"), edges))
 
 
+def _bounds(df: DataFrame, *columns: str) -> list[float]:
+    """Smallest and largest value of each column: a pair of numbers per column.
+
+    An empty column has the bounds 0 and 0, which no row will meet.
+    """
+    ends = [f(F.col(c).cast("double")) for c in columns for f in (F.min, F.max)]
+    return [0.0 if v is None else v for v in df.agg(*ends).first()]
+
+
 def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """(bin, lower, upper, n) for every bin of equal width, empty ones included.
 
-    The bounds are one row; the counted bins are at most ``bins`` rows.
+    The bounds are two literals; the counted bins are one row of ``bins`` counts.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    bounds = values.agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    counted = (
-        values.crossJoin(F.broadcast(bounds))
-        .groupBy(equal_width_bin(F.col("v"), F.col("low"), F.col("high"), bins).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    flat = F.col("low") == F.col("high")
-    low = F.when(flat, F.col("low") - 0.5).otherwise(F.col("low"))
-    step = F.when(flat, F.lit(1.0)).otherwise(F.col("high") - F.col("low")) / bins
-    frame = bounds.filter(F.col("low").isNotNull()).select(
-        low.alias("low"), step.alias("step"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    )
-    return frame.join(F.broadcast(counted), "bin", "left").select(  # at most ``bins`` rows
+    low, high = _bounds(df, column)
+    v = F.col(column).cast("double")
+    number = equal_width_bin(v, F.lit(low), F.lit(high), bins)
+    counted = df.filter(v.isNotNull()).groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    by_bin = F.map_from_entries(F.collect_list(F.struct("bin", "n")))  # at most ``bins`` entries
+    start, width = (low - 0.5, 1.0) if low == high else (low, high - low)
+    step = F.lit(width) / bins
+    frame = counted.agg(by_bin.alias("counts")).filter(F.size("counts") > 0)
+    return frame.select("counts", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")).select(
         F.col("bin").cast("long").alias("bin"),
-        (F.col("low") + F.col("bin") * F.col("step")).alias("lower"),
-        (F.col("low") + (F.col("bin") + 1) * F.col("step")).alias("upper"),
-        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
+        (F.lit(start) + F.col("bin") * step).alias("lower"),
+        (F.lit(start) + (F.col("bin") + 1) * step).alias("upper"),
+        F.coalesce(F.try_element_at("counts", F.col("bin")), F.lit(0)).cast("long").alias("n"),
     )
 
 
 def scatter_grid(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     """Occupied cells of a ``bins`` x ``bins`` grid over two columns."""
-    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter(
-        F.col("x").isNotNull() & F.col("y").isNotNull()
-    )
-    bounds = points.agg(
-        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")
-    )
-    cells = points.crossJoin(F.broadcast(bounds)).groupBy(  # one row
-        equal_width_bin(F.col("x"), F.col("x0"), F.col("x1"), bins).alias("x_bin"),
-        equal_width_bin(F.col("y"), F.col("y0"), F.col("y1"), bins).alias("y_bin"),
-    )
-    return cells.agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("x_bin").cast("long").alias("x_bin"), F.col("y_bin").cast("long").alias("y_bin"), "n"
+    present = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    x0, x1, y0, y1 = _bounds(present, x, y)
+
+    def number(c: str, low: float, high: float):
+        return equal_width_bin(F.col(c).cast("double"), F.lit(low), F.lit(high), bins).cast("long")
+
+    return present.groupBy(number(x, x0, x1).alias("x_bin"), number(y, y0, y1).alias("y_bin")).agg(
+        F.count(F.lit(1)).alias("n")
     )
 
 

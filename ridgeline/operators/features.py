@@ -18,6 +18,18 @@ from pyspark.sql import functions as F
 from ridgeline.model import Roles
 
 UNSCALED = "features_unscaled"
+# The fitted levels of a column are held by the driver and by every task.
+LEVEL_LIMIT = 100_000
+
+
+def check_levels(train: DataFrame, roles: Roles, limit: int = LEVEL_LIMIT) -> None:
+    """Refuse to encode columns with far more levels than one-hot vectors are good for."""
+    if not roles.categorical:
+        return
+    counts = train.agg(*[F.approx_count_distinct(c).alias(c) for c in roles.categorical]).first()
+    wide = {c: counts[c] for c in roles.categorical if counts[c] > limit}
+    if wide:
+        raise ValueError(f"too many levels to encode: {wide}")
 
 
 def keep_unknown_pipeline(roles: Roles, scale: bool = True) -> Pipeline:

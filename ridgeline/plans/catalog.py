@@ -117,25 +117,19 @@ def encoded_importances(spark: SparkSession, d: str) -> DataFrame:
         "ignore": F.concat(F.lit("cat__"), "column", F.lit("_"), "level"),
         "keep": F.concat("column", F.lit("_indexed_encoded_"), "level"),
     }
-    total = F.broadcast(parts.agg(F.count(F.lit(1)).alias("total")))  # one row
+    total = parts.count()
     out = None
     for model in MODELS:
-        share = F.element_at(F.create_map(*[x for c, s in zip(cats, shares[model]) for x in (F.lit(c), F.lit(s))]), F.col("column"))
-        encoded = levels.crossJoin(total).select(
-            F.lit(model).alias("model"), names[model].alias("feature"), (share * F.col("n") / F.col("total")).alias("importance")
+        share = F.element_at(
+            F.create_map(*[x for c, s in zip(cats, shares[model]) for x in (F.lit(c), F.lit(s))]), F.col("column")
         )
-        prefix = "num__" if model == "ignore" else ""
-        fixed = total.select(
-            F.lit(model).alias("model"),
-            F.inline(
-                F.array(
-                    *[F.struct(F.lit(f"{prefix}{c}").alias("feature"), F.lit(0.2).alias("importance")) for c in PART_FEATURES[:2]],
-                    F.struct(F.lit("p_brand_indexed_encoded___unknown").alias("feature"), F.lit(0.0).alias("importance")),
-                    F.struct(F.lit("p_container").alias("feature"), F.lit(0.0).alias("importance")),
-                )
-            ),
+        encoded = levels.select(
+            F.lit(model).alias("model"), names[model].alias("feature"), (share * F.col("n") / total).alias("importance")
         )
-        both = encoded.unionByName(fixed)
+        prefix = "num__" if model == "ignore" else ""
+        fixed = [(model, f"{prefix}{c}", 0.2) for c in PART_FEATURES[:2]]
+        fixed += [(model, "p_brand_indexed_encoded___unknown", 0.0), (model, "p_container", 0.0)]
+        both = encoded.unionByName(spark.createDataFrame(fixed, encoded.schema))
         out = both if out is None else out.unionByName(both)
     return out
 

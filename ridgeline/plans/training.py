@@ -43,6 +43,7 @@ def prepare(df: DataFrame, roles: Roles, encoder: str = "keep", scale: bool = Fa
     """
     df = spread(df, roles.id)
     train = df.filter(F.col("split") == SPLITS[0])
+    X.check_levels(train, roles)
     if encoder == "ignore":
         model, seconds = R.timed(lambda: X.fit_ignore_unknown(train, roles))
         rows = model.transform(df)

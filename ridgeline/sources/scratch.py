@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -43,10 +44,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_staged(spark: SparkSession) -> None:
+    """Delete the tables that ``staged`` wrote for this application, once no result needs them."""
+    sc = spark.sparkContext
+    for name in _written.pop(sc.applicationId, []):
+        path = sc._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """A scan with at least one partition per core, for work that costs much per row.
 
