@@ -49,6 +49,11 @@ def rounded(df: DataFrame, digits: int = 4, names: list[str] | None = None) -> D
     return df.withColumns({c: F.round(c, digits) for c in chosen})
 
 
+def rounded_metrics(df: DataFrame) -> DataFrame:
+    """Errors are in money, R2 is a share: two digits more."""
+    return rounded(rounded(df, 4, ["MAE", "RMSE"]), 6, ["R2"])
+
+
 # --- inputs -----------------------------------------------------------------
 
 
@@ -217,7 +222,7 @@ def dataset_summary(spark, d):
 
 def iqr_outliers(spark, d):
     lines = Q.iqr_outliers(table(spark, d, "lineitem"), LINE_NUMERICS)
-    return rounded(lines.unionByName(Q.iqr_outliers(table(spark, d, "events"), ["value"])))
+    return rounded(lines.unionByName(Q.iqr_outliers(table(spark, d, "events"), ["value"])), 6)
 
 
 def upper_outlier_describe(spark, d):
@@ -303,14 +308,14 @@ def positional_attach(spark, d):
 
 
 def regression_metrics(spark, d):
-    return rounded(predictor_metrics(spark, d))
+    return rounded_metrics(predictor_metrics(spark, d))
 
 
 def comparison_metrics(spark, d):
     both = held_if_small(predictor_metrics(spark, d))
     tables = {m: both.filter(F.col("model") == m).drop("model", "n") for m in ("priority", "segment")}
     place = split_position(F.col("split")).cast("long").alias("place")
-    return rounded(C.metric_table(tables).select(place, "split", "model", *C.METRICS))
+    return rounded_metrics(C.metric_table(tables).select(place, "split", "model", *C.METRICS))
 
 
 def generalisation_gap(spark, d):
@@ -319,8 +324,17 @@ def generalisation_gap(spark, d):
 
 def metric_deltas(spark, d):
     deltas = C.metric_deltas(predictor_metrics(spark, d), "priority", "segment")
-    text = fixed_text(F.round("difference", 3), 3, signed=True).alias("difference_text")
-    return rounded(deltas.select("metric", "baseline", "candidate", "difference", "percent", "verdict", text))
+    share = F.col("metric") == "R2"
+
+    def digits(n: str) -> Column:
+        return F.when(share, F.round(n, 6)).otherwise(F.round(n, 4)).alias(n)
+
+    text = F.when(share, fixed_text(F.round("difference", 6), 6, signed=True)).otherwise(
+        fixed_text(F.round("difference", 3), 3, signed=True)
+    )
+    values = [digits(n) for n in ("baseline", "candidate", "difference")]
+    percent = F.round("percent", 2).alias("percent")
+    return deltas.select("metric", *values, percent, "verdict", text.alias("difference_text"))
 
 
 def prediction_difference(spark, d):

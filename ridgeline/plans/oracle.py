@@ -95,10 +95,10 @@ FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM
 
 def iqr(source: str, column: str) -> str:
     fences = FENCES.format(c=column, t=source)
-    return f"""SELECT '{column}' AS "column", round(any_value(q1), 4) AS q1, round(any_value(q3), 4) AS q3,
-  round(any_value(lower), 4) AS lower, round(any_value(upper), 4) AS upper,
+    return f"""SELECT '{column}' AS "column", round(any_value(q1), 6) AS q1, round(any_value(q3), 6) AS q3,
+  round(any_value(lower), 6) AS lower, round(any_value(upper), 6) AS upper,
   CAST(sum(CASE WHEN {column} < lower OR {column} > upper THEN 1 ELSE 0 END) AS BIGINT) AS n_outliers,
-  round(sum(CASE WHEN {column} < lower OR {column} > upper THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) * 100, 4) AS percent
+  round(sum(CASE WHEN {column} < lower OR {column} > upper THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) * 100, 6) AS percent
 FROM {source}, ({fences}) AS f"""
 
 
@@ -316,11 +316,13 @@ compared AS (
 
 
 def delta(metric: str, better: str) -> str:
-    return f"""SELECT '{metric}' AS metric, round(b.{metric.lower()}, 4) AS baseline, round(c.{metric.lower()}, 4) AS candidate,
-  round(c.{metric.lower()} - b.{metric.lower()}, 4) AS difference,
-  round(abs(c.{metric.lower()} - b.{metric.lower()}) / b.{metric.lower()} * 100, 4) AS percent,
-  CASE WHEN c.{metric.lower()} {better} b.{metric.lower()} THEN 'better' ELSE 'worse' END AS verdict,
-  printf('%+.3f', round(c.{metric.lower()} - b.{metric.lower()}, 3)) AS difference_text
+    b, c = f"b.{metric.lower()}", f"c.{metric.lower()}"
+    digits, shown = (6, 6) if metric == "R2" else (4, 3)
+    return f"""SELECT '{metric}' AS metric, round({b}, {digits}) AS baseline, round({c}, {digits}) AS candidate,
+  round({c} - {b}, {digits}) AS difference,
+  round(abs({c} - {b}) / {b} * 100, 2) AS percent,
+  CASE WHEN {c} {better} {b} THEN 'better' ELSE 'worse' END AS verdict,
+  printf('%+.{shown}f', round({c} - {b}, {shown})) AS difference_text
 FROM metrics AS b, metrics AS c
 WHERE b.model = 'priority' AND c.model = 'segment' AND b.split = 'test' AND c.split = 'test'"""
 
@@ -413,8 +415,8 @@ ORACLE: dict[str, str] = {
     "actual_agreement": f"WITH {COMPARED} SELECT count(*) AS n_rows, count(*) FILTER (WHERE NOT "
     "abs(prediction_priority - prediction_segment) <= 1e-8 + 1e-5 * abs(prediction_segment)) AS n_disagree FROM compared",
     "positional_attach": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
-    "regression_metrics": f'WITH {METRICS} SELECT model, split, n, round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(r2, 4) AS "R2" FROM metrics',
-    "comparison_metrics": f'WITH {METRICS} SELECT CAST({SPLIT_PLACE} AS BIGINT) AS place, split, model, round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(r2, 4) AS "R2" FROM metrics',
+    "regression_metrics": f'WITH {METRICS} SELECT model, split, n, round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(r2, 6) AS "R2" FROM metrics',
+    "comparison_metrics": f'WITH {METRICS} SELECT CAST({SPLIT_PLACE} AS BIGINT) AS place, split, model, round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(r2, 6) AS "R2" FROM metrics',
     "generalisation_gap": f"WITH {METRICS} SELECT a.model, round(a.rmse, 4) AS train_rmse, round(b.rmse, 4) AS test_rmse, round(b.rmse - a.rmse, 4) AS gap "
     "FROM metrics AS a JOIN metrics AS b ON a.model = b.model AND a.split = 'train' AND b.split = 'test'",
     "metric_deltas": f"WITH {METRICS} " + union(delta(m, b) for m, b in (("MAE", "<"), ("RMSE", "<"), ("R2", ">"))),
