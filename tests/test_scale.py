@@ -82,7 +82,7 @@ def test_hot_customer_is_split_and_hot_order_combined(spark, tmp_path, settings)
     )
     row = q.first()
     assert tuple(row)[1:4] == (40_000, 80_000.0, 800_000.0)
-    assert row[5] == 40_000.0  # order 7 gets the even lines; its own number is odd, so two more
+    assert row[5] == 40_002.0  # the even lines, and lines 7 and 40,007
     q.collect()
     assert "skew=true" in plan_of(q)
 
