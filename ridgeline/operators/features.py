@@ -22,14 +22,14 @@ UNSCALED = "features_unscaled"
 LEVEL_LIMIT = 100_000
 
 
-def check_levels(train: DataFrame, roles: Roles, limit: int = LEVEL_LIMIT) -> None:
-    """Refuse to encode columns with far more levels than one-hot vectors are good for."""
-    if not roles.categorical:
-        return
-    counts = train.agg(*[F.approx_count_distinct(c).alias(c) for c in roles.categorical]).first()
-    wide = {c: counts[c] for c in roles.categorical if counts[c] > limit}
-    if wide:
+def counted_training_rows(train: DataFrame, roles: Roles, limit: int = LEVEL_LIMIT) -> int:
+    """Number of training rows, after refusing columns with far too many levels to encode."""
+    levels = [F.approx_count_distinct(c).alias(c) for c in roles.categorical]
+    counts = train.agg(F.count(F.lit(1)).alias("_rows"), *levels).first().asDict()
+    rows = counts.pop("_rows")
+    if wide := {c: n for c, n in counts.items() if n > limit}:
         raise ValueError(f"too many levels to encode: {wide}")
+    return rows
 
 
 def keep_unknown_pipeline(roles: Roles, scale: bool = True) -> Pipeline:
@@ -55,17 +55,16 @@ def keep_unknown_pipeline(roles: Roles, scale: bool = True) -> Pipeline:
     return Pipeline(stages=stages)
 
 
-def fit_ignore_unknown(train: DataFrame, roles: Roles) -> PipelineModel:
+def fit_ignore_unknown(train: DataFrame, roles: Roles, n: int) -> PipelineModel:
     """Numerics centred and scaled by the population deviation, then K places per category.
 
     Levels are alphabetical; unknown and missing values give all zeros. Only the
     numerics are made dense. The scaler divides by the sample deviation, so its
-    result is multiplied by sqrt(n / (n - 1)).
+    result is multiplied by sqrt(n / (n - 1)) for the ``n`` rows of ``train``.
     """
     cats, nums = list(roles.categorical), list(roles.numeric)
     indexed = [f"{c}_indexed" for c in cats]
     encoded = [f"{c}_encoded" for c in cats]
-    n = train.count()
     correction = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
     stages = [
         VectorAssembler(inputCols=nums, outputCol="numeric"),

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.functions.scalars import agrees
+from ridgeline.sources.scratch import held_if_small
+
+# File blocks (of 128 MB by default) whose offsets are held as a local table.
+BLOCK_LIMIT = 100_000
 
 
 def _unique(df: DataFrame, key: str, side: str) -> DataFrame:
@@ -106,7 +110,7 @@ def with_position(files: DataFrame) -> DataFrame:
 
     ``files`` must be a plain file scan. Rows keep their order inside a block of
     a file; the number of rows per block gives each block its offset. Only one
-    small row per block is ordered and handed around.
+    small row per block is ordered; up to some 12 TB those rows are broadcast.
     """
     rows = files.withColumns(
         {
@@ -117,7 +121,8 @@ def with_position(files: DataFrame) -> DataFrame:
     )
     blocks = rows.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first"))
     order = Window.orderBy("_path", "_block")  # one row per file block
-    offsets = blocks.select("_path", "_block", "_first", (F.sum("_rows").over(order) - F.col("_rows")).alias("_offset"))
+    offset = F.sum("_rows").over(order) - F.col("_rows")
+    offsets = held_if_small(blocks.select("_path", "_block", "_first", offset.alias("_offset")), BLOCK_LIMIT)
     return (
         rows.join(offsets, ["_path", "_block"])
         .withColumn("position", F.col("_offset") + F.col("_seq") - F.col("_first"))

@@ -54,12 +54,12 @@ SINGLE_NODE_GRID = (
 )
 
 
-def training_layout(df: DataFrame, id_column: str) -> DataFrame:
+def training_layout(df: DataFrame, id_column: str, rows: int) -> DataFrame:
     """Rows hashed by id into a number of partitions fixed by the row count, sorted.
 
     The same rows give the same forest, however they were stored before.
     """
-    partitions = max(FEWEST_PARTITIONS, -(-df.count() // ROWS_PER_PARTITION))
+    partitions = max(FEWEST_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
     return df.repartition(partitions, id_column).sortWithinPartitions(id_column)
 
 

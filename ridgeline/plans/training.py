@@ -28,6 +28,7 @@ class Prepared:
     rows: DataFrame
     model: PipelineModel
     names: list[str]
+    train_rows: int
     fit_seconds: float
 
     def split(self, name: str) -> DataFrame:
@@ -43,21 +44,22 @@ def prepare(df: DataFrame, roles: Roles, encoder: str = "keep", scale: bool = Fa
     """
     df = spread(df, roles.id)
     train = df.filter(F.col("split") == SPLITS[0])
-    X.check_levels(train, roles)
+    n = X.counted_training_rows(train, roles)
     if encoder == "ignore":
-        model, seconds = R.timed(lambda: X.fit_ignore_unknown(train, roles))
+        model, seconds = R.timed(lambda: X.fit_ignore_unknown(train, roles, n))
         rows = model.transform(df)
         names = X.ignore_unknown_names(model, roles)
     else:
         model, seconds = R.timed(lambda: X.keep_unknown_pipeline(roles, scale).fit(train))
         rows = model.transform(df)
         names = X.keep_unknown_names(rows, model, roles)
-    return Prepared(rows.select(roles.id, roles.target, "split", "features"), model, names, seconds)
+    return Prepared(rows.select(roles.id, roles.target, "split", "features"), model, names, n, seconds)
 
 
 def training_rows(prepared: Prepared, roles: Roles) -> DataFrame:
     """Identifier, label and vector of the training rows in their fixed layout."""
-    return R.training_layout(prepared.split(SPLITS[0]).select(roles.id, roles.target, "features"), roles.id)
+    vectors = prepared.split(SPLITS[0]).select(roles.id, roles.target, "features")
+    return R.training_layout(vectors, roles.id, prepared.train_rows)
 
 
 def split_metrics(predicted: DataFrame, roles: Roles) -> DataFrame:

@@ -34,7 +34,7 @@ def one_hot(model, spark, value):
 
 
 def test_ignore_encoder(spark, rows):
-    model = X.fit_ignore_unknown(rows, ROLES)
+    model = X.fit_ignore_unknown(rows, ROLES, 400)
     assert one_hot(model, spark, "b") == [0.0, 1.0, 0.0]
     assert one_hot(model, spark, "zz") == [0.0, 0.0, 0.0]
     assert one_hot(model, spark, None) == [0.0, 0.0, 0.0]
@@ -42,7 +42,7 @@ def test_ignore_encoder(spark, rows):
 
 
 def test_population_scaling(spark, rows):
-    model = X.fit_ignore_unknown(rows, ROLES)
+    model = X.fit_ignore_unknown(rows, ROLES, 400)
     values = model.transform(rows).select(vector_to_array("features")[0].alias("v"))
     got = values.agg(F.avg("v"), F.stddev_pop("v")).first()
     assert got[0] == pytest.approx(0, abs=1e-12) and got[1] == pytest.approx(1)
@@ -61,6 +61,12 @@ def test_keep_encoder(spark, rows):
     assert X.keep_unknown_names(scaled.transform(rows), scaled, ROLES) == expected
 
 
+def test_too_many_levels_are_refused(rows):
+    assert X.counted_training_rows(rows, ROLES) == 400
+    with pytest.raises(ValueError, match="too many levels"):
+        X.counted_training_rows(rows, ROLES, limit=2)
+
+
 def test_names_are_never_guessed(spark, rows):
     model = X.keep_unknown_pipeline(ROLES, scale=False).fit(rows)
     other = Roles("id", ("x", "z"), ("c", "d"), "y")
