@@ -16,12 +16,14 @@ SEED = 42
 # Spark ML grows trees to at most this depth; "no limit" is mapped to it.
 DEEPEST = 30
 # The layout of the training rows decides which rows a bootstrap draws, so it
-# follows from the number of rows alone, never from the size of the cluster.
+# follows from the number of rows alone, never from the size of the cluster. Every
+# partition sends its own node statistics, so their number stops growing at a bound.
 ROWS_PER_PARTITION = 1_000_000
 FEWEST_PARTITIONS = 8
-# Memory for node statistics per pass over the data. More nodes per pass means
-# fewer passes for deep forests of many trees.
-NODE_MEMORY_MB = 1024
+MOST_PARTITIONS = 20_000
+# Memory for node statistics per task and pass over the data. More nodes per pass
+# means fewer passes for deep forests of many trees.
+NODE_MEMORY_MB = 512
 # Remembering every row's node in every tree saves walking down from the root in
 # each pass, for 4 bytes per row and tree; done while that stays below this.
 NODE_ID_BYTES = 64 * 2**30
@@ -59,7 +61,8 @@ def training_layout(df: DataFrame, id_column: str, rows: int) -> DataFrame:
 
     The same rows give the same forest, however they were stored before.
     """
-    partitions = max(FEWEST_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
+    wanted = -(-rows // ROWS_PER_PARTITION)
+    partitions = min(max(FEWEST_PARTITIONS, wanted), MOST_PARTITIONS)
     return df.repartition(partitions, id_column).sortWithinPartitions(id_column)
 
 

@@ -142,7 +142,7 @@ def run_training(
         part = scored.filter(F.col("split") == split)
         require_reconciled(part, rows.filter(F.col("split") == split), roles.id, roles.target)
         write_table(R.prediction_table(part, roles.id, roles.target), f"{out}/{split}_predictions")
-    parts = tuple(prepared.split(s).rdd.getNumPartitions() for s in SPLITS)
+    parts = tuple(rows.filter(F.col("split") == s).rdd.getNumPartitions() for s in SPLITS)
     seconds = (prepared.fit_seconds, done.search.fit_seconds, time.perf_counter() - start)
     info = run_info(spark, parts, seconds, done.search.best, seed)
     write_run_info(info, f"{out}/run_info")
