@@ -53,7 +53,7 @@ def exact_quantiles(
 
     The number of groups of ``by`` must be small (a flag, a top-10 list): every
     group adds ranks that are looked for. ``df`` is scanned two or three times
-    for usual data, six at most, so hand in a scan or a staged frame.
+    for usual data, seven at most, so hand in a scan or a staged frame.
     """
     by = list(by)
     ranks = _first_round(df, columns, probs, by)

@@ -170,3 +170,25 @@ def test_whole_workflow(spark, tmp_path):
     assert set(baseline) == {"metrics"}
     info = spark.read.schema(RI.RUN_INFO_SCHEMA).json(str(tmp_path / "second" / "run_info" / "json")).first()
     assert info["seed"] == 42 and json.dumps(info["spark_version"])
+
+
+def test_command_line(spark, tmp_path):
+    from ridgeline.__main__ import main
+    from ridgeline.sources import scratch
+
+    csv = str(tmp_path / "raw")
+    files.write_table(turbine_table(spark), csv, "csv")
+    main(["train", csv, str(tmp_path / "b"), "--baseline-only"])
+    schema = comparison.METRIC_SCHEMA
+    metrics = spark.read.schema(schema).csv(str(tmp_path / "b" / "baseline_metrics"), header=True).collect()
+    assert [r["split"] for r in metrics] == ["train", "validation"]
+    assert not scratch._written.get(spark.sparkContext.applicationId)
+
+
+def test_staged_tables_are_discarded(spark):
+    from ridgeline.sources import scratch
+
+    path = scratch.staged(spark.range(3), "gone").inputFiles()[0]
+    scratch.discard_staged(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
