@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import bpe, decontamination, simhash, toxicity
+from ridgeline.llm import bpe, decontamination, linededup, simhash, toxicity
 from ridgeline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -14,6 +14,11 @@ PATTERN = public_tokenizers.PATTERN
 SIMHASH = {"shingle": 4, "max_bits": 4}
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
 
@@ -33,6 +38,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
     "op3_decontamination": op3_decontamination,
     "op6_simhash": op6_simhash,
