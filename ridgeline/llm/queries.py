@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import bpe, decontamination, linededup, simhash, toxicity
+from ridgeline.llm import bpe, decontamination, embeddings, linededup, simhash, toxicity
 from ridgeline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -32,6 +32,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), **SIMHASH)
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -42,6 +46,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_decontamination": op3_decontamination,
     "op6_simhash": op6_simhash,
+    "op8_embeddings": op8_embeddings,
     "op9_toxicity": op9_toxicity,
 }
 ORACLE: dict[str, str] = {}
