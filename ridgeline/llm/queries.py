@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import bpe, decontamination, embeddings, linededup, simhash, toxicity
+from ridgeline.llm import bpe, decontamination, embeddings, linededup, ppm, simhash, toxicity
 from ridgeline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -41,6 +41,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scored(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
@@ -48,5 +52,6 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op8_embeddings": op8_embeddings,
     "op9_toxicity": op9_toxicity,
+    "op10_ppm": op10_ppm,
 }
 ORACLE: dict[str, str] = {}
