@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import bpe, decontamination, embeddings, linededup, ppm, simhash, toxicity
+from ridgeline.llm import bpe, decontamination, embeddings, htmltext, linededup, ppm, simhash, toxicity
 from ridgeline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -32,6 +32,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), **SIMHASH)
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_decontamination": op3_decontamination,
     "op6_simhash": op6_simhash,
+    "op7_html": op7_html,
     "op8_embeddings": op8_embeddings,
     "op9_toxicity": op9_toxicity,
     "op10_ppm": op10_ppm,
