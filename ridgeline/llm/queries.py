@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import bpe, decontamination, embeddings, htmltext, linededup, ppm, simhash, toxicity
+from ridgeline.llm import bpe, decontamination, embeddings, htmltext, langid, linededup, pii, ppm, simhash, toxicity
 from ridgeline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+#: Whoever runs the library on real data passes a secret of their own.
+SURROGATE_KEY = "registered query"
 #: Words of a shingle, and the most bits by which two linked fingerprints differ.
 SIMHASH = {"shingle": 4, "max_bits": 4}
 
@@ -28,6 +30,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(found)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "pages"), langid.fit(table(spark, sf_dir, "documents")))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), **SIMHASH)
 
@@ -53,6 +63,8 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
     "op3_decontamination": op3_decontamination,
+    "op4_language": op4_language,
+    "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
     "op7_html": op7_html,
     "op8_embeddings": op8_embeddings,
