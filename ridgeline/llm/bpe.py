@@ -17,9 +17,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pre-tokens that are looked up at a time, and encoded ones a worker remembers.
-PIECES = 1 << 18
-REMEMBERED = 1 << 19
+#: Pre-tokens that are looked up at a time, and encoded ones of a generation that a worker remembers.
+PIECES = 1 << 17
+REMEMBERED = 100_000
 
 
 class MinimalPerfectHash:
@@ -139,14 +139,23 @@ class Codec:
             self.slots[s] = k
         self.slot_ids = [(self.ranks[k],) for k in self.slots]
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def learn(self, pieces: set[str]) -> None:
-        """Put the ids of these pre-tokens into ``known``: first tier by hash, the misses by merging."""
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known.clear()
-        new = list(pieces.difference(self.known))
-        raw = [p.encode() for p in new]
-        for piece, key, slot in zip(new, raw, self.mph.find(raw).tolist()):
+        """Put the ids of these pre-tokens into ``known``: first tier by hash, the misses by merging.
+
+        A full generation becomes the older one, from which what is still in
+        use is taken over, so memory is bounded and frequent pre-tokens stay.
+        """
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        new = pieces.difference(self.known)
+        back = new.intersection(self.older)
+        for piece in back:
+            self.known[piece] = self.older[piece]
+        rest = list(new.difference(back))
+        raw = [p.encode() for p in rest]
+        for piece, key, slot in zip(rest, raw, self.mph.find(raw).tolist()):
             whole = slot >= 0 and self.slots[slot] == key
             self.known[piece] = self.slot_ids[slot] if whole else merge(key, self.byte_ids, self.pairs)
 
@@ -192,23 +201,27 @@ def encoded(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
+        types = [pa.int64(), pa.string(), pa.string(), pa.bool_()]
         for batch in batches:
-            cols: list[list] = [[] for _ in names[1:]]
+            rows: list[tuple] = []
+            kept: list[np.ndarray] = []
             for cell in batch.column(1):
                 text = cell.as_py() or ""
-                n, ids_hash, bytes_hash, kept = 0, hashlib.sha256(), hashlib.sha256(), array("I")
+                n, ids_hash, bytes_hash = 0, hashlib.sha256(), hashlib.sha256()
                 for ids in c.encode(text):
                     n += len(ids)
-                    ids_hash.update(np.frombuffer(ids, np.uintc).astype("<u4", copy=False))
+                    numbers = np.frombuffer(ids, np.uintc)
+                    ids_hash.update(numbers.astype("<u4", copy=False))
                     bytes_hash.update(c.decode(ids))
                     if with_ids:
-                        kept.extend(ids)
+                        kept.append(numbers.astype(np.int32))
                 same = bytes_hash.digest() == hashlib.sha256(text.encode()).digest()
-                row = [n, ids_hash.hexdigest(), bytes_hash.hexdigest(), same] + [kept.tolist()] * with_ids
-                for col, value in zip(cols, row):
-                    col.append(value)
-            types = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(x, t) for x, t in zip(cols, types)], names=names)
+                rows.append((n, ids_hash.hexdigest(), bytes_hash.hexdigest(), same))
+            arrays = [batch.column(0)] + [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+            if with_ids:
+                ends = np.cumsum([0] + [r[0] for r in rows]).astype(np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(kept + [np.zeros(0, np.int32)]))))
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     ids = F.col(id_col).cast("long").alias("doc_id")
     return docs.select(ids, F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)

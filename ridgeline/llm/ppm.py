@@ -16,7 +16,7 @@ from ridgeline.sources.scratch import staged
 #: Ends a text and fills the context before it; UTF-8 never has this byte.
 END = 0xFF
 #: Positions that are worked on at a time.
-PIECE = 1 << 21
+PIECE = 1 << 19
 SYMBOLS = 256
 #: What each listed symbol gives to the escape of its context.
 DISCOUNT = 0.5
