@@ -150,7 +150,7 @@ class Codec:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         new = pieces.difference(self.known)
-        back = new.intersection(self.older)
+        back = {p for p in new if p in self.older}
         for piece in back:
             self.known[piece] = self.older[piece]
         rest = list(new.difference(back))
