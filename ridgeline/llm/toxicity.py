@@ -35,6 +35,7 @@ class Settings:
     level: int = 15
     repeats: int = 4
     significance: float = 10.0
+    lift: float = 4.0
     thresholds: tuple[int, ...] = (2, 3, 4, 5, 6)
 
 
@@ -97,17 +98,25 @@ class Model:
 def trained(windows: list[tuple[bytes, int]], size: int, level: int, repeats: int) -> bytes:
     """A dictionary over windows with their counts.
 
-    Of a few segment lengths the one counts whose dictionary codes the windows
-    shortest. Too few windows for the trainer are themselves the dictionary.
+    The trainer gives next to nothing when it is asked for more than there is
+    to choose from, so the size is halved until the dictionary fills half of
+    it. Of a few segment lengths the one counts whose dictionary codes the
+    windows shortest. Too few windows for the trainer are themselves the
+    dictionary.
     """
     samples = [b" " + w + b" " for w, n in windows for _ in range(min(n, 100))]
-    total = sum(map(len, samples))
     made = [b"".join(b" " + w for w, _ in windows)[-size:]] if windows else [b""]
     for k, d in ((24, 8), (16, 6), (8, 6)):
-        try:
-            made.append(zstandard.train_dictionary(min(size, max(512, total // 4)), samples, k=k, d=d, level=level).as_bytes())
-        except zstandard.ZstdError:
-            continue
+        wanted = size
+        while wanted >= 256:
+            try:
+                content = zstandard.train_dictionary(wanted, samples, k=k, d=d, level=level).as_bytes()
+            except zstandard.ZstdError:
+                content = b""
+            if 2 * len(content) >= wanted:
+                made.append(content)
+                break
+            wanted //= 2
     probe = windows[:2000]
 
     def cost(content: bytes) -> int:
@@ -153,7 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     first by a hash of the id. Folds 1 to 3 give word counts by label, from
     which the windows for the dictionaries come: the most frequent ones for
     ordinary text, for toxic text those whose document rate exceeds the
-    ordinary rate significantly. Fold 4 calibrates the thresholds. Whole texts
+    ordinary rate significantly and ``lift`` times. Fold 4 calibrates the thresholds. Whole texts
     are read, on the executors; the driver gets the bounded windows and the
     features of the calibration rows.
     """
@@ -172,7 +181,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     top = counts.filter("plain > 0").orderBy(F.desc("plain"), "word").limit(settings.ordinary_windows).collect()
     rate = (F.col("plain") + 1) / (n[0] + 2)
     lift = (F.col("toxic") / max(1, n[1]) - rate) / F.sqrt(rate * (1 - rate) / max(1, n[1]))
-    marked = counts.filter((F.col("toxic") >= 2) & (lift >= settings.significance))
+    often = F.col("toxic") / max(1, n[1]) >= settings.lift * rate
+    marked = counts.filter((F.col("toxic") >= 2) & (lift >= settings.significance) & often)
     marked = marked.orderBy(F.desc("toxic"), "word").limit(settings.toxic_windows).collect()
     model = Model(
         trained([(bytes(r["word"]), r["toxic"]) for r in marked], settings.toxic_bytes, settings.level, settings.repeats),
