@@ -26,7 +26,7 @@ class Lookup:
     """An open-addressing table from distinct non-negative int64 keys to their positions."""
 
     def __init__(self, keys: np.ndarray):
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 3))))
+        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 1.5))))
         self.mask = (1 << self.bits) - 1
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.at = np.full(1 << self.bits, -1, np.int32)
@@ -157,20 +157,29 @@ def _positions(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.
 
 
 def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
+    """The lower-cased texts of a batch as bytes."""
     return [(t.as_py() or "").encode().translate(LOWER) for t in batch.column(column)]
 
 
 def gram_counts(texts: DataFrame, order: int) -> DataFrame:
     """``gram, n`` over all of ``texts`` (one string column), added up on the map side first."""
 
+    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        gram = np.concatenate([g for g, _ in held])
+        by = np.argsort(gram)
+        gram, n = gram[by], np.concatenate([c for _, c in held])[by]
+        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        return gram[first], np.add.reduceat(n, first)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: list[tuple[np.ndarray, np.ndarray]] = []
             for gram, _ in _positions(_texts(batch, 0), order):
                 held.append(np.unique(gram, return_counts=True))
+                if sum(len(g) for g, _ in held[1:]) > 2 * PIECE:
+                    held = [merged(held)]
             if held:
-                gram, at = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
-                n = np.bincount(at, weights=np.concatenate([c for _, c in held])).astype(np.int64)
+                gram, n = merged(held)
                 for lo in range(0, len(gram), 1 << 16):
                     part = slice(lo, lo + (1 << 16))
                     yield pa.RecordBatch.from_arrays([pa.array(gram[part]), pa.array(n[part])], names=["gram", "n"])
@@ -225,7 +234,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 def scored(
     docs: DataFrame,
     order: int = 5,
-    share: int = 1 << 19,
+    share: int = 1 << 18,
     common: int = 1 << 16,
     id_col: str = "doc_id",
     text_col: str = "text",
