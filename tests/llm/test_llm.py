@@ -1,0 +1,363 @@
+"""The training-data operators against brute force, and their edge cases."""
+
+import hashlib
+import math
+import re
+from array import array
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+
+import corpus_pipeline
+from ridgeline.llm import bpe, decontamination, embeddings, htmltext, langid, linededup, pii, ppm, queries, simhash, toxicity
+from ridgeline.llm.components import components
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LONG = "one two three four five six seven eight nine ten eleven twelve " * 3000
+ODD = [(1, None), (2, ""), (3, " \t\n "), (4, LONG), (5, "A b C"), (5, "A b C"), (None, "no id here"), (6, "é’ 日本   ½ x1")]
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.fixture(scope="module")
+def texts(spark, data_dir):
+    return [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{data_dir}/documents.parquet").collect()]
+
+
+class Union:
+    def __init__(self, ids):
+        self.up = {i: i for i in ids}
+
+    def find(self, x):
+        while self.up[x] != x:
+            x = self.up[x] = self.up[self.up[x]]
+        return x
+
+    def join(self, a, b):
+        a, b = sorted((self.find(a), self.find(b)))
+        self.up[b] = a
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)] + [(200, 200 + i) for i in range(1, 300)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 41)}, 101: 100, **{200 + i: 200 for i in range(1, 300)}}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def print_of(text, k=4):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    grams = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_against_all_pairs(spark, data_dir, texts):
+    prints = {d: print_of(t) for d, t in texts}
+    union, ids = Union(prints), list(prints)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= 4:
+                union.join(a, b)
+    got = queries.op6_simhash(spark, data_dir).collect()
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in got} == {d: (f"{p:016x}", union.find(d)) for d, p in prints.items()}
+
+
+def test_simhash_cuts_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 4)
+    fps = [(1 << i) - (1 << 64 if i == 63 else 0) for i in range(64)] + [0]
+    classes = spark.createDataFrame(list(zip(fps, range(65))), "fp long, rep long")
+    assert {r["root"] for r in components(simhash.links(classes, 2)).collect()} == {0}
+    assert len(components(simhash.links(classes, 2)).collect()) == 64
+
+
+def test_simhash_edges(spark):
+    got = simhash.near_duplicates(docs_of(spark, ODD), 4, 4).collect()
+    assert len(got) == len(ODD)
+    by = {r["doc_id"]: r for r in got}
+    assert by[1]["component_id"] == by[2]["component_id"] == by[3]["component_id"] == 1 and by[1]["fingerprint"] == "0" * 16
+    assert simhash.near_duplicates(docs_of(spark, []), 4, 4).count() == 0
+
+
+def test_bpe_is_the_library(spark, data_dir, texts):
+    codec = bpe.Codec(queries.VOCABULARY, queries.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    for _, text in texts[:300] + ODD + [(0, "a" * 3000), (0, "<|endoftext|>")]:
+        ids = array("I")
+        for part in codec.encode(text or ""):
+            ids.extend(part)
+        assert ids.tolist() == library.encode_ordinary(text or "")
+        assert codec.decode(ids) == (text or "").encode()
+    assert sorted(codec.mph.find(list(codec.ranks)).tolist()) == list(range(len(codec.ranks)))
+    got = {r["doc_id"]: r for r in queries.op2_bpe(spark, data_dir).collect()}
+    for d, text in texts[:100]:
+        raw = np.array(library.encode_ordinary(text or ""), "<u4")
+        assert (got[d]["n_tokens"], got[d]["ids_sha256"]) == (len(raw), hashlib.sha256(raw.tobytes()).hexdigest())
+        assert got[d]["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_bpe_edges(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECES", 50)
+    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+    got = bpe.encoded(docs_of(spark, ODD), queries.VOCABULARY, queries.PATTERN, with_ids=True).collect()
+    assert len(got) == len(ODD) and all(r["decodes"] and r["n_tokens"] == len(r["ids"]) for r in got)
+    assert bpe.encoded(docs_of(spark, []), queries.VOCABULARY, queries.PATTERN).count() == 0
+
+
+def contamination_of(texts, items):
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+
+    windows = {}
+    for i, t in items:
+        w = words(t)
+        for k in range(max(1, len(w) - 9) if w else 0):
+            windows.setdefault(tuple(w[k : k + 10]), set()).add(i)
+    sizes = {len(w) for w in windows}
+    for d, t in texts:
+        w, hit, found = words(t), set(), set()
+        for size in sizes:
+            for k in range(len(w) - size + 1):
+                if of := windows.get(tuple(w[k : k + size])):
+                    hit.update(range(k, k + size))
+                    found |= of
+        yield d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+
+
+def test_decontamination(spark, data_dir, texts):
+    items = [tuple(r) for r in spark.read.parquet(f"{data_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    got = queries.op3_decontamination(spark, data_dir).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for r in got) == sorted(contamination_of(texts, items))
+    assert all(r["contaminated"] == (r["n_hit"] > 0) for r in got)
+
+
+@pytest.mark.parametrize("block_words", [1_000_000, 5])
+def test_decontamination_edges(spark, block_words):
+    items = [(1, "Twelve one TWO"), (2, "b"), (3, None), (4, "!!"), (10, "one two three four five six seven eight nine ten eleven"), (5, "two three x four")]
+    found = decontamination.contamination(docs_of(spark, ODD), spark.createDataFrame(items, "item_id long, text string"), block_words=block_words)
+    got = decontamination.digest(found).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    ours = sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for r in got), key=key)
+    assert ours == sorted(contamination_of(ODD, items), key=key)
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert decontamination.contamination(docs_of(spark, ODD), empty).filter("n_hit > 0").count() == 0
+    assert decontamination.contamination(docs_of(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
+def test_near_matches(spark):
+    docs = docs_of(spark, [(1, "a b c x d e"), (2, "a b c x y z d e"), (3, "e d c b a"), (4, "a b c d e")])
+    items = spark.createDataFrame([(9, "a b c d e")], "item_id long, text string")
+    got = {r["doc_id"]: (r["items"], r["near_items"]) for r in decontamination.contamination(docs, items, slop=2).collect()}
+    assert got == {1: ([], [9]), 2: ([], []), 3: ([], []), 4: ([9], [])}
+
+
+def lines_kept(texts, s=linededup.Settings()):
+    def tokens(line):
+        return tuple("<*>" if re.search("[0-9]", t) else t for t in re.split("[ \t\x0b\f\r]+", line) if t)
+
+    def recurs(docs, constant, n):
+        return docs >= 2 and constant >= s.shortest and constant >= s.similarity * n and (docs - 1) * constant >= s.evidence
+
+    of, leaves, keep = {}, {}, {}
+    for d, t in texts:
+        for line in (t or "").split("\n") if d is not None else ():
+            if k := tokens(line):
+                of.setdefault(k, set()).add(d)
+    for k, ds in of.items():
+        leaves.setdefault((len(k), k[: s.depth]), []).append(k)
+        if recurs(len(ds), len(k), len(k)):
+            keep[k] = min(ds)
+    for (n, _), ks in leaves.items():
+        docs = sum(len(of[k]) for k in ks)
+        if len(ks) < 2 or (docs - 1) * n < s.evidence or n < s.shortest:
+            continue
+        counts, shapes = Counter(), {}
+        for k in ks:
+            for place in enumerate(k):
+                counts[place] += len(of[k])
+        for k in ks:
+            shapes.setdefault(tuple(p if counts[p] >= max(2, s.share * docs) else None for p in enumerate(k)), []).append(k)
+        for shape, members in shapes.items():
+            ds = set().union(*(of[k] for k in members))
+            if recurs(len(ds), sum(p is not None for p in shape), n):
+                for k in members:
+                    keep[k] = min(keep.get(k, min(ds)), min(ds))
+    for d, t in texts:
+        yield d, None if t is None else "\n".join(x for x in t.split("\n") if d is None or keep.get(tokens(x), d) == d)
+
+
+def test_line_dedup(spark, data_dir, texts):
+    got = queries.op1_line_dedup(spark, data_dir).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == dict(lines_kept(texts))
+
+
+def test_line_dedup_edges(spark):
+    line = "a license line that is long enough to recur in the version %s of it and then some more words"
+    rows = ODD + [(i, f"own line {'x' * i}\n{line % i}") for i in range(10, 14)] + [(14, line % "seven")]
+    docs = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, n_lines int, leaf int")
+    out = linededup.deduplicated(docs)
+    got = out.collect()
+    assert out.columns == ["doc_id", "text", "n_lines", "leaf", "n_lines_", "n_dropped"] and {r["n_lines"] for r in got} == {1}
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=key) == sorted(lines_kept(rows), key=key)
+    assert linededup.deduplicated(docs_of(spark, [])).count() == 0
+
+
+def test_embeddings(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", 40)
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(60, 16))
+    rows = [(i, (base[i % 60] + rng.normal(size=16) * (0.25 if i >= 60 else 0)).tolist()) for i in range(200)]
+    rows += [(1000 + i, base[3].tolist()) for i in range(30)] + [(2000, [0.0] * 16), (2001, None), (2002, [float("nan")] * 16), (2003, [1.0, None]), (2004, []), (2005, [1e200, 1e200])]
+    rows += [(None, base[3].tolist())]
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert len(got) == len(rows)
+    good = [(i, np.array(v)) for i, v in rows if i is not None and (i < 2000)]
+    union, links = Union(i for i, _ in good), Counter()
+    for n, (i, x) in enumerate(good):
+        for j, y in good[n + 1 :]:
+            if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.9:
+                union.join(i, j)
+                links.update((i, j))
+    for i, _ in good:
+        assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (links[i], union.find(i), union.find(i) == i)
+    for i in range(2000, 2006):
+        assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
+    assert (got[None]["n_links"], got[None]["component_id"], got[None]["kept"]) == (0, None, False)
+    assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_ppm(spark):
+    rng = np.random.default_rng(2)
+    syllables = ["an", "be", "co", "du", "é", "F"]
+    rows = [(30 + i, " ".join("".join(rng.choice(syllables, 2)) for _ in range(rng.integers(0, 30)))) for i in range(80)] + ODD
+    got = ppm.scored(docs_of(spark, rows), order=3, share=200, common=50).collect()
+    held = lambda d: d is not None and __import__("zlib").crc32(str(d).encode()) % 7 == 2
+    words, grams = Counter(), [Counter() for _ in range(4)]
+    for d, t in rows:
+        if not held(d):
+            low = (t or "").translate(LOWER)
+            words.update(re.findall(r"[^\x20\x09-\x0D]+", low) + [None])
+            raw = b"\xff" * 3 + low.encode() + b"\xff"
+            for i in range(3, len(raw)):
+                for k in range(4):
+                    grams[k][raw[i - k : i + 1]] += 1
+    n, kinds, least = sum(words.values()), len(words), -(-sum(grams[0].values()) // 200)
+
+    def probability(context, symbol):
+        p, gone = 1.0, set()
+        for k in range(3, -1, -1):
+            tail = context[3 - k :]
+            total = sum(c for g, c in grams[k].items() if g[:-1] == tail)
+            listed = {g[-1]: c - 0.5 for g, c in grams[k].items() if g[:-1] == tail and c >= least}
+            if listed:
+                escape = total - sum(listed.values())
+                room = sum(c for s, c in listed.items() if s not in gone) + escape
+                if symbol in listed:
+                    return p * listed[symbol] / room
+                p, gone = p * escape / room, set(listed)
+        return p / (256 - len(gone))
+
+    def expected(d, t):
+        low = (t or "").translate(LOWER)
+        tokens = re.findall(r"[^\x20\x09-\x0D]+", low) + [None]
+        raw = b"\xff" * 3 + low.encode() + b"\xff"
+        base = sum(math.log10((words[w] + 1) / (n + 1 * (kinds + 1))) for w in tokens)
+        return held(d), len(tokens), sum(words[w] > 0 for w in tokens), n, base, raw
+
+    want = {(d, *expected(d, t)[:4]): expected(d, t)[4:] for d, t in rows}
+    assert len(got) == len(rows)
+    for r in got:
+        base, raw = want[r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]]
+        assert r["base_score"] == pytest.approx(base, rel=1e-9)
+    for d, t in rows[:6]:
+        raw = expected(d, t)[5]
+        score = sum(math.log10(probability(raw[i - 3 : i], raw[i])) for i in range(3, len(raw)))
+        assert [r["score"] for r in got if r["doc_id"] == d] == [pytest.approx(score, rel=1e-9)]
+    assert ppm.scored(docs_of(spark, [])).count() == 0
+
+
+def test_html():
+    page = """<html><head><title>t</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><div id="cookie-notice">We use
+    cookies, accept them.</div><div class="content"><h2>Title &amp; more</h2><p>First  paragraph <b>that</b><br>runs on and on.<p>Second one, also
+    long.</div><script>var a="</p>";</script><div class="comments"><p>Nice post, thank you so much for it!</p></div><footer>(c)</footer>"""
+    assert htmltext.main_text(page) == "Title & more\nFirst paragraph that runs on and on.\nSecond one, also long."
+    assert htmltext.main_text("<div class=ad>Buy now and here, dear reader!</div><article><h1>T</h1><p>x<aside>no</aside><p>y</article><p>z") == "T\nx\ny"
+    assert [htmltext.main_text(x) for x in (None, "", "<p", "<!-- ", "a &lt; b")] == ["", "", "<p", "", "a < b"]
+
+
+def test_html_query(spark, data_dir):
+    got = queries.op7_html(spark, data_dir).collect()
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{data_dir}/pages.parquet").collect()}
+    for r in got:
+        inside = re.search(r"<article>(.*?)(</article>|\Z)", pages[r["page_id"]], re.S)[1]
+        parts = (" ".join(__import__("html").unescape(re.sub(r"<[^>]+>", "", p)).split()) for p in re.split(r"</?(?:p|h1|footer)[^>]*>", inside))
+        assert r["text"] == "\n".join(p for p in parts if p) and r["n_chars"] == len(r["text"])
+
+
+def test_language(spark, data_dir):
+    got = queries.op4_language(spark, data_dir).collect()
+    assert sum(r["lang"] == re.search(r"//[^/]+/(\w\w)/", r["url"])[1] for r in got) >= 0.98 * len(got)
+    model = langid.fit(spark.read.parquet(f"{data_dir}/documents.parquet"))
+    odd = spark.createDataFrame([(1, None, None), (None, "http://a.b/", ""), (2, "x", "<html lang=de><p>der die das"), (2, "x", "<html lang=de><p>der die das")], "page_id long, url string, html string")
+    assert langid.identified(odd, model).count() == 4
+    assert langid.identified(odd.limit(0), model).count() == 0
+
+
+def test_pii(spark, data_dir, texts):
+    mail = r"[\w.+-]+@[\w-]+\.[\w.-]*\w"
+    rows = ODD + [(20, "Mail A.B@x.example.COM, a.b@x.example.com; call +1 (017) 555-7713 or +1 (017)-555-7713. Mr. Ivan Petrov 10.1.2.3"), (21, "4111 1111 1111 1111 4111111111111111 a.b@x.example.com")]
+    got = {r["doc_id"]: r for r in pii.replaced(docs_of(spark, rows), "k").collect()}
+    assert all(got[d]["text"] == t for d, t in ODD if d not in (None,))
+    one, two = got[20]["text"], got[21]["text"]
+    mails = re.findall(mail, one)
+    assert mails[0].lower() == mails[1] == re.findall(mail, two)[0] != "a.b@x.example.com" and mails[0].endswith(".com")
+    phones = re.findall(r"\+1 \(\d{3}\)[ -]\d{3}-\d{4}", one)
+    assert len(phones) == 2 and len({re.sub(r"\D", "", p) for p in phones}) == 1 and "017" not in phones[0]
+    assert re.search(r"Mr\. [A-Z][a-z]{2}n [A-Z][a-z]{4}v", one) and "Ivan" not in one and "10.1.2.3" not in one
+    cards = re.findall(r"\d{4} ?\d{4} ?\d{4} ?\d{4}", two)
+    digits = [int(c) for c in cards[1][::-1]]
+    assert cards[0].replace(" ", "") == cards[1] != "4111111111111111"
+    assert sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
+    assert pii.replaced(docs_of(spark, []), "k").count() == 0
+    whole = {r["doc_id"]: r for r in queries.op5_pii(spark, data_dir).collect()}
+    seen = {}
+    for d, t in texts:
+        for a, b in zip(re.findall(mail, t or ""), re.findall(mail, whole[d]["text"] or "")):
+            assert a != b
+            seen.setdefault(a.lower(), set()).add(b.lower())
+        assert whole[d]["n_entities"] or whole[d]["text"] == t
+    assert all(len(v) == 1 for v in seen.values()) and len(set.union(*seen.values())) == len(seen)
+
+
+def test_toxicity(spark, data_dir):
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{data_dir}/labels.parquet").collect()}
+    got = [r for r in queries.op9_toxicity(spark, data_dir).collect() if r["doc_id"] in labels]
+    clean = [r["predicted"] for r in got if labels[r["doc_id"]] == 0]
+    toxic = [r["predicted"] for r in got if labels[r["doc_id"]] == 1]
+    assert np.mean(clean) < 0.02 and np.mean(toxic) > 0.35
+    no_labels = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of(spark, ODD), no_labels)
+    out = toxicity.scored(docs_of(spark, ODD), model).collect()
+    assert len(out) == len(ODD) and all(0 <= r["score"] <= 1 and r["predicted"] == 0 for r in out)
+    assert toxicity.scored(docs_of(spark, []), model).count() == 0
+
+
+def test_pipeline(spark, data_dir):
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    for name in list(stages)[:-1]:
+        docs = stages[name](spark, docs, data_dir)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    out = corpus_pipeline.run(spark, data_dir)
+    rows = out.collect()
+    assert 700 < len(rows) < 1000 and len({r["doc_id"] for r in rows}) == len(rows) and all(r["decodes"] for r in rows)
+    empty = spark.read.parquet(f"{data_dir}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, data_dir).count() == 0
