@@ -119,7 +119,7 @@ def _surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Co
         .when(kind == "token", token)
         .when(kind == "card", card)
         .when(kind == "iban", _changed(canonical, own, F.lit(2), zero))
-        .when(kind == "name", _changed(canonical, own, zero, F.lit(1)))
+        .when(kind == "name", F.array_join(F.transform(F.split(canonical, " "), lambda w, i: _changed(w, F.concat(own, i.cast("string")), zero, F.lit(1))), " "))
         .otherwise(number)
     )
 
@@ -184,7 +184,7 @@ def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
     get different ones. Surrogates keep the kind, length, script, case and
     separators; numbers keep their first digit, card numbers a valid check
     digit, countries of phones and banks stay, names keep their title and
-    their last letter, by which given names mostly tell the gender.
+    the last letter of each word, by which given names mostly tell the gender.
 
     Texts without personal data, NULL and empty ones stay as they are, with 0
     entities and no kinds. Rows with the same id, or NULL ids, are told apart
