@@ -10,6 +10,7 @@ are literals that the scan can push down.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -67,11 +68,20 @@ def exact_quantiles(
     for r in settled:
         if not r.upper:
             top = ends[r.group, r.column, r.prob, True]
-            lines.append((*r.group, columns[r.column], r.prob, r.low + (top - r.low) * r.weight))
+            lines.append((*r.group, columns[r.column], r.prob, _between(r.low, top, r.weight)))
     fields = "".join(f"`{b}` {df.schema[b].dataType.simpleString()}, " for b in by)
     return df.sparkSession.createDataFrame(lines, f"{fields}`column` string, prob double, value double")
 
 
+def _between(low: float, high: float, weight: float) -> float:
+    """Linear interpolation; an infinite end decides unless it has no weight."""
+    if weight == 0 or low == high:
+        return low
+    if math.isinf(low) or math.isinf(high):
+        return low * (1 - weight) + high * weight
+    return low + (high - low) * weight
+
+
 def _magnitude(v: Column) -> Column:
     """Order-preserving whole number: 16 steps per power of two, either sign.
 
@@ -121,9 +131,9 @@ def _first_round(df, columns, probs, by) -> list[_Rank]:
 
 
 def _values(df: DataFrame, columns: Sequence[str], numbers: Sequence[int], by: Sequence[str]) -> DataFrame:
-    """Rows (by..., number, value) of the chosen columns, number being the column's place."""
+    """Rows (by..., number, value) of the chosen columns, number being the column's place; NaN is missing."""
     cells = [F.struct(F.lit(i).alias("number"), F.col(columns[i]).cast("double").alias("value")) for i in numbers]
-    return df.select(*by, F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    return df.select(*by, F.inline(F.array(*cells))).filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def _inside(df, columns, by, intervals) -> DataFrame:

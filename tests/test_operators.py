@@ -56,6 +56,17 @@ def test_quantiles_by_group_and_column(spark):
             assert math.isclose(r["value"], brute_quantile(members, r["prob"]), rel_tol=1e-12)
 
 
+@pytest.mark.parametrize("limit", [2, 1_000_000])
+def test_quantiles_skip_nan_and_keep_infinity(spark, limit):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(float(i),) for i in range(10)] + [(nan,)] * 5 + [(None,)], "v double")
+    got = {r["prob"]: r["value"] for r in QT.exact_quantiles(df, ["v"], [0.0, 0.5, 0.75, 0.9], interval_limit=limit).collect()}
+    assert got == {0.0: 0.0, 0.5: 4.5, 0.75: 6.75, 0.9: pytest.approx(8.1)}
+    df = spark.createDataFrame([(-inf,), (1.0,), (2.0,), (3.0,), (inf,)], "v double")
+    got = {r["prob"]: r["value"] for r in QT.exact_quantiles(df, ["v"], [0.0, 0.1, 0.5, 0.9, 1.0], interval_limit=limit).collect()}
+    assert got == {0.0: -inf, 0.1: -inf, 0.5: 2.0, 0.9: inf, 1.0: inf}
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([], "v double")
     assert QT.exact_quantiles(df, ["v"], [0.5]).collect() == []
