@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -190,14 +191,20 @@ def config_table(spark, configs: Sequence[ForestConfig]) -> DataFrame:
 def load_or_refit(path: str, refit: Callable[[], PipelineModel], probe: DataFrame) -> tuple[PipelineModel, bool]:
     """Stored pipeline and True, or a newly fitted and stored one and False.
 
-    A pipeline counts as usable when it loads and accepts the probe's schema and
-    rows; anything else means fitting again on the training rows.
+    A pipeline is missing when nothing is stored under ``path``, and unusable
+    when it does not accept the probe's schema; only then it is fitted again.
+    Any other failure, such as a denied read, is raised and the stored pipeline
+    stays as it is. No row of the probe is read.
     """
-    try:
+    sc = probe.sparkSession.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(sc._jsc.hadoopConfiguration()).exists(place):
         model = PipelineModel.load(path)
-        model.transform(probe).limit(5).collect()
-        return model, True
-    except Exception:  # missing files, another version, a changed schema
-        model = refit()
-        model.write().overwrite().save(path)
-        return model, False
+        try:
+            model.transform(probe)
+            return model, True
+        except (AnalysisException, IllegalArgumentException):  # the schema has changed
+            pass
+    model = refit()
+    model.write().overwrite().save(path)
+    return model, False

@@ -123,6 +123,15 @@ def test_load_or_refit(spark, rows, tmp_path):
     assert R.load_or_refit(path, fit_other, renamed)[1] is False
 
 
+def test_unreadable_model_is_not_overwritten(spark, rows, tmp_path):
+    place = tmp_path / "model"
+    place.mkdir()
+    (place / "metadata").write_text("not a model")
+    with pytest.raises(Exception):
+        R.load_or_refit(str(place), lambda: pytest.fail("fitted again"), rows)
+    assert (place / "metadata").read_text() == "not a model"
+
+
 def turbine_table(spark):
     n = F.col("id")
     numeric = [((n * (i + 3) * 17 % 97) / (i + 1)).alias(c) for i, c in enumerate(TURBINE.numeric)]
