@@ -8,10 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.functions.scalars import agrees
-from ridgeline.sources.scratch import held_if_small
-
-# File blocks (of 128 MB by default) whose offsets are held as a local table.
-BLOCK_LIMIT = 100_000
+from ridgeline.sources.scratch import staged
 
 
 def _unique(df: DataFrame, key: str, side: str) -> DataFrame:
@@ -109,46 +106,55 @@ def with_position(files: DataFrame) -> DataFrame:
     """Add ``position``, the 0-based row number over files in path order.
 
     ``files`` must be a plain file scan. Rows keep their order inside a block of
-    a file; the number of rows per block gives each block its offset. Only one
-    small row per block is ordered; up to some 12 TB those rows are broadcast.
+    a file; the number of rows per block gives each block its offset. Where a
+    block starts depends on how the files are cut when a job is planned, so the
+    rows are written once with their labels, and offsets and result both come
+    from that copy. Blocks are added up per file; one row per file is ordered in
+    a single task.
     """
-    rows = files.withColumns(
+    labelled = files.withColumns(
         {
             "_path": F.col("_metadata.file_path"),
             "_block": F.col("_metadata.file_block_start"),
             "_seq": F.monotonically_increasing_id(),
         }
     )
+    rows = staged(labelled, "positions")
     blocks = rows.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first"))
-    order = Window.orderBy("_path", "_block")  # one row per file block
-    offset = F.sum("_rows").over(order) - F.col("_rows")
-    offsets = held_if_small(blocks.select("_path", "_block", "_first", offset.alias("_offset")), BLOCK_LIMIT)
-    return (
-        rows.join(offsets, ["_path", "_block"])
-        .withColumn("position", F.col("_offset") + F.col("_seq") - F.col("_first"))
-        .drop("_path", "_block", "_seq", "_first", "_offset")
-    )
+    by_file = blocks.groupBy("_path").agg(F.sum("_rows").alias("_file_rows"))
+    earlier = by_file.select("_path", (F.sum("_file_rows").over(Window.orderBy("_path")) - F.col("_file_rows")).alias("_start"))
+    within = F.sum("_rows").over(Window.partitionBy("_path").orderBy("_block")) - F.col("_rows")
+    offsets = blocks.withColumn("_within", within).join(earlier, "_path")
+    offsets = offsets.select("_path", "_block", (F.col("_start") + F.col("_within") - F.col("_first")).alias("_offset"))
+    placed = rows.join(offsets, ["_path", "_block"]).withColumn("position", F.col("_offset") + F.col("_seq"))
+    return placed.select(*files.columns, "position")
 
 
 def attach_ids(files: DataFrame, id_files: DataFrame, id_column: str) -> DataFrame:
     """Give the rows of ``files`` the identifiers that stand at the same place.
 
     For data whose identifiers were written to a separate one-column file. Names,
-    lengths, missing and repeated identifiers are checked first.
+    lengths, missing and repeated identifiers are checked first, on the copies
+    that are joined; running the result fails on a place only one side has.
     """
     if id_files.columns != [id_column]:
         raise ValueError(f"expected exactly the column {id_column}, found {id_files.columns}")
     if id_column in files.columns:
         raise ValueError(f"{id_column} is already present")
-    checked = id_files.groupBy(id_column).agg(F.count(F.lit(1)).alias("n")).agg(
+    rows, ids = with_position(files), with_position(id_files)
+    checked = ids.groupBy(id_column).agg(F.count(F.lit(1)).alias("n")).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count_if(F.col(id_column).isNull()).alias("missing"),
         F.count_if(F.col("n") > 1).alias("repeated"),
     ).first()
-    expected = files.count()
+    expected = rows.count()
     if checked["rows"] != expected or checked["missing"] or checked["repeated"]:
         raise ValueError(f"{id_column}: {expected} rows expected, found {checked.asDict()}")
-    return with_position(files).join(with_position(id_files), "position").drop("position").select(id_column, *files.columns)
+    both = rows.withColumn("_row", F.lit(True)).join(ids, "position", "full_outer")
+    paired = F.col("_row").isNotNull() & F.col(id_column).isNotNull()
+    problem = F.format_string(f"{id_column}: position %s is on one side only", F.col("position").cast("string"))
+    valid = F.when(paired, F.lit(True)).otherwise(F.raise_error(problem).cast("boolean"))
+    return both.filter(valid).select(id_column, *files.columns)
 
 
 def rows_in_order(df: DataFrame, keys: Sequence[str], key_column: str) -> DataFrame:

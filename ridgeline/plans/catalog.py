@@ -69,12 +69,16 @@ def split_rows(spark: SparkSession, d: str, *columns: str) -> DataFrame:
 
 
 def group_mean_predictions(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Predict the training mean of the row's category, one prediction per column."""
+    """Predict the training mean of the row's category, one prediction per column.
+
+    A missing category, or one that training has not seen, gets the mean of all training rows.
+    """
     train = rows.filter(F.col("split") == SPLITS[0])
+    overall = F.lit(train.agg(F.round(F.avg(TARGET), 2)).first()[0]).cast("double")
     out = rows
     for c in columns:
         means = train.groupBy(c).agg(F.round(F.avg(TARGET), 2).alias(f"by_{c}"))
-        out = out.join(held_if_small(means), c)
+        out = out.join(held_if_small(means), c, "left").withColumn(f"by_{c}", F.coalesce(f"by_{c}", overall))
     return out
 
 
@@ -301,10 +305,11 @@ def actual_agreement(spark, d):
 
 
 def positional_attach(spark, d):
-    orders = files.read_parquet(spark, f"{d}/orders.parquet")
-    values = spark.read.parquet(f"{d}/orders.parquet").select("o_custkey", "o_totalprice", "o_orderpriority")
-    ids = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey")
-    return M.attach_ids(values, ids, orders.columns[0])
+    """Orders written to several files; their ids are read apart from the other columns and attached again."""
+    path = scratch_path(spark, "orders")
+    spark.read.parquet(f"{d}/orders.parquet").repartition(4, "o_orderkey").write.parquet(path)
+    orders = spark.read.parquet(path)
+    return M.attach_ids(orders.drop("o_orderkey"), orders.select("o_orderkey"), "o_orderkey")
 
 
 def regression_metrics(spark, d):

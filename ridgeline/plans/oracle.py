@@ -18,8 +18,8 @@ order_profile AS (
          c_mktsegment AS segment, n_name AS nation,
          CAST(coalesce(cents, 0) AS DOUBLE) / 100 AS target
   FROM orders
-  JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN nation ON c_nationkey = n_nationkey
   LEFT JOIN lines ON o_orderkey = l_orderkey)"""
 
 SPLIT = (
@@ -40,9 +40,10 @@ PREDICTORS = (
     + """,
 p_mean AS (SELECT priority, round(avg(target), 2) AS by_priority FROM split_rows WHERE split = 'train' GROUP BY priority),
 s_mean AS (SELECT segment, round(avg(target), 2) AS by_segment FROM split_rows WHERE split = 'train' GROUP BY segment),
+overall AS (SELECT round(avg(target), 2) AS mean_target FROM split_rows WHERE split = 'train'),
 both_predicted AS (
-  SELECT record_id, split, target AS actual, by_priority, by_segment
-  FROM split_rows JOIN p_mean USING (priority) JOIN s_mean USING (segment)),
+  SELECT record_id, split, target AS actual, coalesce(by_priority, mean_target) AS by_priority, coalesce(by_segment, mean_target) AS by_segment
+  FROM split_rows LEFT JOIN p_mean USING (priority) LEFT JOIN s_mean USING (segment) CROSS JOIN overall),
 predicted AS (
   SELECT 'priority' AS model, record_id, split, actual, by_priority AS predicted FROM both_predicted
   UNION ALL
@@ -212,11 +213,12 @@ MEAN_SEARCH = (
         f"m_{c} AS (SELECT {c}, round(avg(target), 2) AS by_{c} FROM split_rows WHERE split = 'train' GROUP BY {c})"
         for c in CATEGORICAL
     )
+    + ",\noverall AS (SELECT round(avg(target), 2) AS mean_target FROM split_rows WHERE split = 'train')"
     + ",\nsearch AS ("
     + union(
         f"SELECT {i} AS place, {10 * i} AS trees, {'CAST(NULL AS INTEGER)' if c == 'nation' else i} AS depth, "
-        f"sqrt(avg((target - by_{c}) * (target - by_{c}))) AS rmse, count(*) / 1000.0 AS seconds "
-        f"FROM split_rows JOIN m_{c} USING ({c}) WHERE split = 'validation'"
+        f"sqrt(avg(power(target - coalesce(by_{c}, mean_target), 2))) AS rmse, count(*) / 1000.0 AS seconds "
+        f"FROM split_rows LEFT JOIN m_{c} USING ({c}) CROSS JOIN overall WHERE split = 'validation'"
         for i, c in enumerate(CATEGORICAL, start=1)
     )
     + ")"
@@ -414,7 +416,7 @@ ORACLE: dict[str, str] = {
     "reconcile_predictions": f"WITH {PREDICTORS} " + union(reconcile(*s) for s in SUBSET_SPLITS),
     "actual_agreement": f"WITH {COMPARED} SELECT count(*) AS n_rows, count(*) FILTER (WHERE NOT "
     "abs(prediction_priority - prediction_segment) <= 1e-8 + 1e-5 * abs(prediction_segment)) AS n_disagree FROM compared",
-    "positional_attach": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
+    "positional_attach": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
     "regression_metrics": f'WITH {METRICS} SELECT model, split, n, round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(r2, 6) AS "R2" FROM metrics',
     "comparison_metrics": f'WITH {METRICS} SELECT CAST({SPLIT_PLACE} AS BIGINT) AS place, split, model, round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(r2, 6) AS "R2" FROM metrics',
     "generalisation_gap": f"WITH {METRICS} SELECT a.model, round(a.rmse, 4) AS train_rmse, round(b.rmse, 4) AS test_rmse, round(b.rmse - a.rmse, 4) AS gap "

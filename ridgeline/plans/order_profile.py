@@ -46,7 +46,7 @@ def order_profile(spark: SparkSession, data_dir: str) -> DataFrame:
     )
     buyers = (
         table(spark, data_dir, "customer")
-        .join(table(spark, data_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, data_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(
             F.col("c_custkey"),
             F.col("c_acctbal").alias("acctbal"),
@@ -66,7 +66,7 @@ def order_profile(spark: SparkSession, data_dir: str) -> DataFrame:
         return F.coalesce(F.col(name), F.lit(0)).cast("double")
 
     return (
-        orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(lines, "record_id", "left")
         .select(
             "record_id",

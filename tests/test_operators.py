@@ -13,6 +13,7 @@ from ridgeline.operators import quality as Q
 from ridgeline.operators import quantiles as QT
 from ridgeline.operators import regression as R
 from ridgeline.operators import splitting as S
+from ridgeline.plans.catalog import group_mean_predictions
 
 
 def brute_quantile(values, p):
@@ -252,6 +253,32 @@ def test_positions_over_many_files(spark, tmp_path):
         M.attach_ids(read(values, "v long"), read(ids, "other long"), "record_id")
 
 
+def test_positions_survive_other_file_splits(spark, tmp_path):
+    """Files cut in one way when the frame is built and in another when it runs."""
+    values, ids = str(tmp_path / "values"), str(tmp_path / "ids")
+    spark.range(0, 60000, 1, 3).select((F.col("id") * 2).alias("v"), F.lit("x" * 30).alias("w")).write.csv(values, header=True)
+    spark.range(0, 60000, 1, 2).select(F.col("id").alias("record_id")).write.csv(ids, header=True)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "200000")
+        files = spark.read.schema("v long, w string").csv(values, header=True)
+        joined = M.attach_ids(files, spark.read.schema("record_id long").csv(ids, header=True), "record_id")
+        spark.conf.set(key, "300000")
+        assert joined.count() == 60000 and joined.filter("v <> 2 * record_id").count() == 0
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_group_means_keep_rows_of_unseen_levels(spark):
+    rows = spark.createDataFrame(
+        [("train", "a", 1.0), ("train", "a", 2.0), ("train", "b", 6.0), ("test", "c", 5.0), ("test", None, 4.0)],
+        "split string, kind string, target double",
+    )
+    out = {(r["split"], r["kind"], r["target"]): r["by_kind"] for r in group_mean_predictions(rows, ["kind"]).collect()}
+    assert len(out) == 5 and out["test", "c", 5.0] == out["test", None, 4.0] == 3.0 and out["train", "a", 1.0] == 1.5
+
+
 def test_rows_in_order(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
     assert [r["v"] for r in M.rows_in_order(df, ["c", "a"], "k").collect()] == [3, 1]
