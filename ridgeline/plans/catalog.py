@@ -309,7 +309,8 @@ def positional_attach(spark, d):
     path = scratch_path(spark, "orders")
     spark.read.parquet(f"{d}/orders.parquet").repartition(4, "o_orderkey").write.parquet(path)
     orders = spark.read.parquet(path)
-    return M.attach_ids(orders.drop("o_orderkey"), orders.select("o_orderkey"), "o_orderkey")
+    attached = M.attach_ids(orders.drop("o_orderkey"), orders.select("o_orderkey"), "o_orderkey")
+    return attached.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
 def regression_metrics(spark, d):

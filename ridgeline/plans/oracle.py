@@ -416,7 +416,7 @@ ORACLE: dict[str, str] = {
     "reconcile_predictions": f"WITH {PREDICTORS} " + union(reconcile(*s) for s in SUBSET_SPLITS),
     "actual_agreement": f"WITH {COMPARED} SELECT count(*) AS n_rows, count(*) FILTER (WHERE NOT "
     "abs(prediction_priority - prediction_segment) <= 1e-8 + 1e-5 * abs(prediction_segment)) AS n_disagree FROM compared",
-    "positional_attach": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
+    "positional_attach": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders",
     "regression_metrics": f'WITH {METRICS} SELECT model, split, n, round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(r2, 6) AS "R2" FROM metrics',
     "comparison_metrics": f'WITH {METRICS} SELECT CAST({SPLIT_PLACE} AS BIGINT) AS place, split, model, round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(r2, 6) AS "R2" FROM metrics',
     "generalisation_gap": f"WITH {METRICS} SELECT a.model, round(a.rmse, 4) AS train_rmse, round(b.rmse, 4) AS test_rmse, round(b.rmse - a.rmse, 4) AS gap "
