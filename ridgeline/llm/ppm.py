@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.llm.common import LOWER, crc_bucket
@@ -16,7 +16,9 @@ from ridgeline.sources.scratch import staged
 #: Ends a text and fills the context before it; UTF-8 never has this byte.
 END = 0xFF
 #: Positions that are worked on at a time.
-PIECE = 1 << 19
+PIECE = 1 << 18
+#: Rows that are scored at a time, so that a worker holds little beside the probabilities.
+ROWS = 512
 SYMBOLS = 256
 #: What each listed symbol gives to the escape of its context.
 DISCOUNT = 0.5
@@ -61,74 +63,6 @@ class Lookup:
         return out
 
 
-def _low(values: np.ndarray, n_bytes: int) -> np.ndarray:
-    return values & np.int64((1 << 8 * n_bytes) - 1)
-
-
-class Trie:
-    """Contexts of 0 to ``order`` bytes with the symbols that follow them often enough.
-
-    ``levels[k]`` has (symbol after context, count) and (context, all that
-    follows it). The escape of a context gets what follows it but is not
-    listed, and half an occurrence of every listed symbol. On an escape the
-    listed symbols are excluded below, so their counts are taken from the
-    shorter context's total; what is left depends on the longer context alone
-    and is kept with it.
-    """
-
-    def __init__(self, levels: list[tuple[np.ndarray, ...]]):
-        self.order = len(levels) - 1
-        self.grams, self.counts, self.contexts = [], [], []
-        self.listed, self.escape, self.below = [], [], []
-        for k, (gram, count, context, total) in enumerate(levels):
-            count = count - DISCOUNT
-            inside = Lookup(context)
-            of = inside.find(_low(gram >> np.int64(8), k))
-            listed = np.bincount(of, weights=count, minlength=len(context))
-            below = np.zeros(len(context))
-            if k:
-                shorter = self.grams[k - 1].find(_low(gram, k))
-                taken = np.bincount(of, weights=self.counts[k - 1][shorter], minlength=len(context))
-                parent = self.contexts[k - 1].find(_low(context, k - 1))
-                below = self.listed[k - 1][parent] - taken
-            self.grams.append(Lookup(gram))
-            self.counts.append(count)
-            self.contexts.append(inside)
-            self.listed.append(listed)
-            self.escape.append(total - listed)
-            self.below.append(below)
-        self.rest = SYMBOLS - len(levels[0][0])
-        of = self.contexts[-1].find(_low(levels[-1][0] >> np.int64(8), self.order))
-        self.top = np.log10(self.counts[-1] / (self.listed[-1][of] + self.escape[-1][of]))
-
-    def log_probability(self, grams: np.ndarray) -> np.ndarray:
-        """log10 of the probability of the last byte of each gram after the bytes before it."""
-        found = self.grams[-1].find(grams)
-        out = np.where(found >= 0, self.top[found], 0.0) if len(self.top) else np.zeros(len(grams))
-        left = np.flatnonzero(found < 0)
-        escaped = np.zeros(len(left), bool)
-        open_ = np.zeros(len(left))
-        for k in range(self.order, -1, -1):
-            if not len(left):
-                return out
-            gram = _low(grams[left], k + 1)
-            context = self.contexts[k].find(gram >> np.int64(8)) if k else np.zeros(len(left), np.int64)
-            known = context >= 0
-            hit = self.grams[k].find(gram) if k < self.order else np.full(len(left), -1)
-            at = np.where(known, context, 0)
-            if len(self.listed[k]):
-                room = np.where(escaped, open_, self.listed[k][at]) + self.escape[k][at]
-                paid = np.where(hit >= 0, self.counts[k][hit], self.escape[k][at]) if len(self.counts[k]) else self.escape[k][at]
-                out[left[known]] += np.log10(paid[known] / room[known])
-                open_ = np.where(known, self.below[k][at], open_)
-                escaped |= known
-            on = hit < 0
-            left, escaped, open_ = left[on], escaped[on], open_[on]
-        if len(left):
-            out[left] -= np.log10(max(1, self.rest))
-        return out
-
-
 def _positions(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Grams (``order`` bytes and a symbol) of the texts with their END, and the number of the text of each."""
     joint = bytes([END]) * (order + 1)
@@ -187,33 +121,61 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
     return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def trained(texts: DataFrame, order: int, share: int) -> Trie:
-    """A trie over all of ``texts``.
+def contexts_of(grams: DataFrame, order: int, least: int) -> list[DataFrame]:
+    """``context, total, next`` for contexts of 0 to ``order`` bytes: all that follows one, and its symbols with their counts.
 
-    All grams of the corpus are counted by a shuffle. Listed in the trie, which
-    every worker holds, are those that make up at least 1 / ``share`` of all
-    positions, so each level has at most ``share`` grams and contexts however
-    large the corpus is; the mass of the rest is kept in the escapes.
+    Symbols that follow a context fewer than ``least`` times are part of its
+    total only; a context without a symbol is left out.
     """
-    grams = staged(gram_counts(texts, order), "grams")
-    all_ = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(1, -(-all_ // share))
-    levels: list[tuple[np.ndarray, ...]] = []
+    tables: list[DataFrame] = []
     level = grams
     for k in range(order, -1, -1):
-        contexts = level.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"))
-        listed = level.filter(F.col("n") >= least).toArrow()
-        inside = contexts.filter(F.col("total") >= least).toArrow()
-        gram, n = (listed.column(c).to_numpy().astype(np.int64) for c in ("gram", "n"))
-        context, total = (inside.column(c).to_numpy().astype(np.int64) for c in ("context", "total"))
-        a, b = np.argsort(gram), np.argsort(context)
-        # A context without a listed symbol predicts nothing; its escape would be certain.
-        has = np.isin(context[b], gram >> 8)
-        levels.insert(0, (gram[a], n[a], context[b][has], total[b][has]))
+        symbol = F.struct(F.col("gram").bitwiseAND(F.lit(255)).cast("int").alias("s"), "n")
+        context = level.groupBy(F.shiftright("gram", 8).alias("context"))
+        table = context.agg(F.sum("n").alias("total"), F.collect_list(F.when(F.col("n") >= least, symbol)).alias("next"))
+        tables.insert(0, staged(table.filter(F.size("next") > 0), "contexts"))
         if k:
             low = F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))
             level = staged(level.groupBy(low.alias("gram")).agg(F.sum("n").alias("n")), "grams")
-    return Trie(levels)
+    return tables
+
+
+def log_probabilities(wanted: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """``gram, log`` for distinct ``gram``: log10 of the probability of the last byte after the bytes before it.
+
+    From the longest context down, a gram is joined to its context. The escape
+    of a context gets what follows it but is not listed, and half an occurrence
+    of every listed symbol. On an escape the symbols of the longer context are
+    excluded below. Grams that are found leave, so shorter contexts see few.
+    Contexts of at most one byte are 257 at most and are broadcast.
+    """
+    left = wanted.select("gram", F.lit(0.0).alias("log"), F.array().cast("array<int>").alias("gone"))
+    done = None
+
+    def mass(symbols: Column) -> Column:
+        return F.aggregate(symbols, F.lit(0.0), lambda sum_, x: sum_ + x["n"] - DISCOUNT)
+
+    for k in range(len(tables) - 1, -1, -1):
+        context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * k) - 1))
+        joined = left.withColumn("context", context).join(F.broadcast(tables[k]) if k < 2 else tables[k], "context", "left")
+        symbol = F.col("gram").bitwiseAND(F.lit(255)).cast("int")
+        escape = F.col("total") - mass(F.col("next"))
+        room = mass(F.filter("next", lambda x: ~F.array_contains("gone", x["s"]))) + escape
+        paid = F.get(F.filter("next", lambda x: x["s"] == symbol), F.lit(0))["n"] - DISCOUNT
+        step = joined.select(
+            "gram",
+            (F.col("log") + F.coalesce(F.log10(F.coalesce(paid, escape) / room), F.lit(0.0))).alias("log"),
+            F.when(paid.isNotNull(), F.array().cast("array<int>")).otherwise(F.coalesce(F.transform("next", lambda x: x["s"]), "gone")).alias("gone"),
+            paid.isNotNull().alias("found"),
+        )
+        step = staged(step, "probabilities")
+        found = step.filter("found").select("gram", "log")
+        done = found if done is None else done.union(found)
+        left = step.filter("not found").drop("found")
+        if left.isEmpty():
+            return done
+    unseen = F.log10(F.greatest(F.lit(1), SYMBOLS - F.size("gone")))
+    return done.union(left.select("gram", (F.col("log") - unseen).alias("log")))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -234,8 +196,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
 def scored(
     docs: DataFrame,
     order: int = 5,
-    share: int = 1 << 18,
+    share: int | None = None,
     common: int = 1 << 16,
+    frequent: int = 1 << 22,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -243,10 +206,15 @@ def scored(
 
     Rows whose crc32 of the id, modulo 7, is 2 are held out; all others train
     both models, whole texts. ``score`` is the log10 probability of the
-    lower-cased bytes and the end of the text under the trie; ``base_score``
-    that of the words and one end under add-one word counts. The counts of
-    words that make up 1 / ``common`` of all tokens go to every worker (at most
-    ``common`` of them); the counts of all other words are joined.
+    lower-cased bytes and the end of the text after contexts of at most
+    ``order`` bytes; ``base_score`` that of the words and one end under add-one
+    word counts. Every gram of the corpus is in the model, unless ``share`` is
+    given: then only those that make up 1 / ``share`` of all positions are.
+
+    The probabilities of grams that make up 1 / ``frequent`` of all positions
+    and the counts of words that make up 1 / ``common`` of all tokens go to
+    every worker (at most ``frequent`` and ``common`` of them); those of all
+    other grams and words are joined, to the same result.
 
     NULL and empty texts have one token, the end. A NULL id is not held out;
     repeated ids give a row each. Without a training row every probability is
@@ -256,7 +224,11 @@ def scored(
     held = F.coalesce(crc_bucket(id_col, 7) == 2, F.lit(False))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).cast("string").alias("text"))
     train = rows.filter("not held_out").select("text")
-    trie = trained(train, order, share)
+    grams = staged(gram_counts(train, order), "grams")
+    positions = grams.agg(F.sum("n")).first()[0] or 0
+    tables = contexts_of(grams, order, -(-positions // share) if share else 1)
+    held_grams = log_probabilities(grams.filter(F.col("n") * frequent >= positions).select("gram"), tables).toArrow()
+    lookup, gram_logs = Lookup(held_grams.column("gram").to_numpy()), held_grams.column("log").to_numpy()
     words = staged(word_counts(train), "words")
     n_docs = train.count()
     n_words, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -264,17 +236,28 @@ def scored(
     room = n + kinds + (1 if n_docs else 0) + 1
     often = words.filter(F.col("c") * common >= n).toArrow()
     counts = dict(zip(often.column("word").to_pylist(), often.column("c").to_pylist()))
-    shared = spark.sparkContext.broadcast((trie, counts))
+    shared = spark.sparkContext.broadcast((lookup, gram_logs, counts))
     end = float(np.log10(n_docs + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value
+        inside, log_of, known = shared.value
         logs = {w: float(np.log10(c + 1)) for w, c in known.items()}
-        for batch in batches:
+        for batch in (whole.slice(lo, ROWS) for whole in batches for lo in range(0, whole.num_rows, ROWS)):
             texts = _texts(batch, 2)
             score = np.zeros(len(texts))
+            none = np.zeros(0, np.int64)
+            rare_grams = [(none, none, none)]  # text, gram, how often
             for gram, of in _positions(texts, order):
-                score += np.bincount(of, weights=model.log_probability(gram), minlength=len(texts))
+                at = inside.find(gram)
+                there = at >= 0
+                score += np.bincount(of[there], weights=log_of[at[there]], minlength=len(texts))
+                gram, of = gram[~there], of[~there]
+                by = np.lexsort((gram, of))
+                gram, of = gram[by], of[by]
+                first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (of[1:] != of[:-1])])[: len(gram)])
+                rare_grams.append((of[first], gram[first], np.diff(first, append=len(gram))))
+            of, gram, times = (np.concatenate(x) for x in zip(*rare_grams))
+            cuts = pa.array(np.searchsorted(of, np.arange(len(texts) + 1)), pa.int32())
             n_tokens, n_known, base, rare_words, rare_n = [], [], [], [], []
             for text in texts:
                 found = Counter(text.split())
@@ -288,22 +271,31 @@ def scored(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1)]
                 + [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(score)]
-                + [pa.array(rare_words, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int64()))],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "words", "times"],
+                + [pa.array(rare_words, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int64()))]
+                + [pa.ListArray.from_arrays(cuts, pa.array(x, pa.int64())) for x in (gram, times)],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "words", "times", "grams", "grams_n"],
             )
 
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<long>"
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+    schema += ", words array<binary>, times array<long>, grams array<long>, grams_n array<long>"
     first = staged(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scores")
     rare = first.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), "w.times")
     log = F.log10(F.col("c") + 1) * F.col("times")
-    joined = rare.join(words, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(log).alias("logs"))
+    of_words = rare.join(words, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(log).alias("logs"))
+    rare = first.select("row", F.explode(F.arrays_zip("grams", "grams_n")).alias("g")).select("row", F.col("g.grams").alias("gram"), "g.grams_n")
+    # A training row has no gram that is not counted; held-out rows may.
+    unseen = first.filter("held_out").select(F.explode("grams").alias("gram")).distinct().join(grams, "gram", "left_anti")
+    wanted = grams.filter(F.col("n") * frequent < positions).select("gram").union(unseen)
+    log = staged(log_probabilities(wanted, tables), "logs")
+    of_grams = rare.join(log, "gram").groupBy("row").agg(F.sum(F.col("log") * F.col("grams_n")).alias("rest"))
     base = F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(room)))
-    return first.drop("words", "times").join(joined, "row", "left").select(
+    joined = first.drop("words", "times", "grams", "grams_n").join(of_words, "row", "left").join(of_grams, "row", "left")
+    return joined.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"),
     )

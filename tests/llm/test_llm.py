@@ -283,6 +283,35 @@ def test_ppm(spark):
     assert ppm.scored(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("frequent", [1 << 20, 8])
+def test_ppm_whole_model(spark, frequent):
+    rows = [(2, LONG), (3, LONG), (4, "zq rare xj"), (5, None), (9, "zq rare"), (12, "rare zx, qj"), (6, "one zq two \x00")]
+    got = {r["doc_id"]: r for r in ppm.scored(docs_of(spark, rows), order=2, frequent=frequent).collect()}
+    assert {r["held_out"] for r in got.values()} == {True, False}
+    raws = {d: b"\xff\xff" + (t or "").encode() + b"\xff" for d, t in rows}
+    after = {}
+    for d, raw in raws.items():
+        for i in range(2, len(raw)) if not got[d]["held_out"] else ():
+            for k in range(3):
+                after.setdefault(raw[i - k : i], Counter())[raw[i]] += 1
+    assert sum(after[b""].values()) > 1 << 18
+
+    def probability(context, symbol):
+        p, gone = 1.0, set()
+        for k in (2, 1, 0):
+            if seen := after.get(context[2 - k :]):
+                escape = len(seen) / 2
+                room = sum(c - 0.5 for s, c in seen.items() if s not in gone) + escape
+                if symbol in seen:
+                    return p * (seen[symbol] - 0.5) / room
+                p, gone = p * escape / room, set(seen)
+        return p / (256 - len(gone))
+
+    for d, raw in raws.items():
+        want = Counter((raw[i - 2 : i], raw[i]) for i in range(2, len(raw)))
+        assert got[d]["score"] == pytest.approx(sum(n * math.log10(probability(*g)) for g, n in want.items()), rel=1e-9)
+
+
 def test_html():
     page = """<html><head><title>t</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><div id="cookie-notice">We use
     cookies, accept them.</div><div class="content"><h2>Title &amp; more</h2><p>First  paragraph <b>that</b><br>runs on and on.<p>Second one, also
