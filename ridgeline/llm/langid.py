@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.llm.htmltext import main_text
@@ -28,7 +28,6 @@ class Settings:
     """
 
     rows: int = 2_000
-    languages: int = 64
     buckets: int = 1 << 15
     temper: float = 0.3
     host: float = 5.0
@@ -56,15 +55,21 @@ class TextModel:
 
 
 def fit(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> TextModel:
-    """Smoothed trigram probabilities of each language from a bounded sample of labelled texts, counted on the executors."""
+    """Smoothed trigram probabilities of every language found, from a bounded sample of its labelled texts, counted on the executors."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    most = known.groupBy(F.lower(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(s.languages).collect()
-    languages = sorted(r["lang"] for r in most)
-    ids = known.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(lang_col).alias("lang"))
-    order = ids.withColumn("o", F.xxhash64("doc_id"))
-    sample = [(r["doc_id"], languages.index(c)) for c in languages for r in order.filter(F.col("lang") == c).orderBy("o", "doc_id").limit(s.rows).collect()]
-    chosen = docs.sparkSession.createDataFrame(sample, "sample_id long, code int")
-    texts = known.join(F.broadcast(chosen.distinct()), F.col(id_col).cast("long") == F.col("sample_id")).select("code", F.col(text_col).alias("text"))
+    ids = known.select(F.col(id_col).cast("long").alias("sample_id"), F.lower(lang_col).alias("lang")).withColumn("o", F.xxhash64("sample_id"))
+    ids = ids.withColumn("slot", F.shiftright("o", 52))
+    # The slots of the hash that hold a language's first rows are counted out first, so that no task sorts a whole language.
+    before = Window.partitionBy("lang").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = ids.groupBy("lang", "slot").count().withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    last = staged(slots.filter(F.col("before") < s.rows).groupBy("lang").agg(F.max("slot").alias("last")), "slots")
+    early = ids.join(F.broadcast(last), "lang").filter("slot <= last")
+    ranked = early.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("o", "sample_id")))
+    chosen = staged(ranked.filter(F.col("n") <= s.rows).select("sample_id", "lang"), "sample")
+    languages = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())
+    codes = docs.sparkSession.createDataFrame(list(zip(languages, range(len(languages)))), "lang string, code int")
+    chosen = chosen.distinct().join(F.broadcast(codes), "lang").select("sample_id", "code")
+    texts = known.join(chosen, F.col(id_col).cast("long") == F.col("sample_id")).select("code", F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(languages), s.buckets), np.int64)

@@ -339,6 +339,16 @@ def test_language(spark, data_dir):
     assert langid.identified(odd.limit(0), model).count() == 0
 
 
+def test_language_has_no_bound_on_languages(spark):
+    rows = [(100 * n + i, f"{chr(0x4E00 + n)}{chr(0x5E00 + n)} " * 5, f"L{n:02d}") for n in range(70) for i in range(1 + (n < 69))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, langid.Settings(buckets=1 << 12))
+    assert model.languages == [f"l{n:02d}" for n in range(70)]
+    text = rows[-1][1]
+    page = spark.createDataFrame([(1, "", f"<p>{text}")], "page_id long, url string, html string")
+    assert [r["lang"] for r in langid.identified(page, model).collect()] == ["l69"]
+
+
 def test_pii(spark, data_dir, texts):
     mail = r"[\w.+-]+@[\w-]+\.[\w.-]*\w"
     rows = ODD + [(20, "Mail A.B@x.example.COM, a.b@x.example.com; call +1 (017) 555-7713 or +1 (017)-555-7713. Mr. Ivan Petrov 10.1.2.3"), (21, "4111 1111 1111 1111 4111111111111111 a.b@x.example.com")]
