@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import bpe, decontamination, embeddings, htmltext, langid, linededup, pii, ppm, simhash, toxicity
+from ridgeline.llm import bpe, decontamination, embeddings, htmltext, langid, linededup, pieces, pii, ppm, simhash, toxicity
 from ridgeline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Whoever runs the library on real data passes a secret of their own.
 SURROGATE_KEY = "registered query"
 #: Words of a shingle, and the most bits by which two linked fingerprints differ.
@@ -59,6 +60,10 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.scored(table(spark, sf_dir, "documents"))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), PIECES)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
@@ -70,5 +75,6 @@ QUERIES = {
     "op8_embeddings": op8_embeddings,
     "op9_toxicity": op9_toxicity,
     "op10_ppm": op10_ppm,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 ORACLE: dict[str, str] = {}
