@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import bpe, decontamination, embeddings, htmltext, langid, linededup, pieces, pii, ppm, simhash, toxicity
+from ridgeline.llm import bpe, decontamination, embeddings, htmltext, langid, linededup, periodic, pieces, pii, ppm, simhash, toxicity
 from ridgeline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -60,6 +60,10 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.detected(table(spark, sf_dir, "documents"), periodic.looped))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), PIECES)
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_embeddings": op8_embeddings,
     "op9_toxicity": op9_toxicity,
     "op10_ppm": op10_ppm,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_sentencepiece": op13_sentencepiece,
 }
 ORACLE: dict[str, str] = {}
