@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import bpe, decontamination, embeddings, htmltext, langid, linededup, periodic, pieces, pii, ppm, simhash, toxicity
+from ridgeline.llm import bpe, decontamination, embeddings, htmltext, langid, linededup, periodic, phrases, pieces, pii, ppm, simhash, toxicity
 from ridgeline.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -64,6 +64,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.detected(table(spark, sf_dir, "documents"), periodic.looped))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), PIECES)
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_ppm": op10_ppm,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_collocations": op12_collocations,
     "op13_sentencepiece": op13_sentencepiece,
 }
 ORACLE: dict[str, str] = {}
