@@ -5,10 +5,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +15,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pre-tokens that are looked up at a time, and encoded ones of a generation that a worker remembers.
+from ridgeline.llm.common import Digests, DistinctTable, runs, slices
+
+#: Pre-tokens that are looked up at a time, and distinct ones that a worker remembers.
 PIECES = 1 << 17
-REMEMBERED = 100_000
+REMEMBERED = 600_000
 
 
 class MinimalPerfectHash:
@@ -83,8 +83,8 @@ def merge(piece: bytes, byte_ids: list[int], pairs: dict[int, int]) -> tuple[int
     """Ids of one pre-token: the lowest-ranked adjacent pair is joined first, the leftmost among equals.
 
     The parts are a linked list over byte positions; a heap holds the pairs
-    that can be joined as ``rank << 32 | position``, and an entry whose pair
-    has changed since is skipped.
+    that can be joined as rank and position in one number, and an entry whose
+    pair has changed since is skipped.
     """
     n = len(piece)
     ids = [byte_ids[b] for b in piece]
@@ -93,25 +93,29 @@ def merge(piece: bytes, byte_ids: list[int], pairs: dict[int, int]) -> tuple[int
     get = pairs.get
     open_ = [get(a << 32 | b, -1) for a, b in zip(ids, ids[1:])]
     open_.append(-1)
-    heap = [r << 32 | i for i, r in enumerate(open_) if r >= 0]
+    bits = n.bit_length()
+    place = (1 << bits) - 1
+    heap = [r << bits | i for i, r in enumerate(open_) if r >= 0]
     heapq.heapify(heap)
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        entry = heapq.heappop(heap)
-        i, rank = entry & 0xFFFFFFFF, entry >> 32
+        entry = pop(heap)
+        i, rank = entry & place, entry >> bits
         if open_[i] != rank:
             continue
         gone = after[i]
         k = after[i] = after[gone]
-        ids[i], open_[gone], open_[i] = rank, -1, -1
+        ids[i], open_[gone] = rank, -1
+        r = -1
         if k < n:
             prior[k] = i
             if (r := get(rank << 32 | ids[k], -1)) >= 0:
-                open_[i] = r
-                heapq.heappush(heap, r << 32 | i)
+                push(heap, r << bits | i)
+        open_[i] = r
         if (p := prior[i]) >= 0:
             r = open_[p] = get(ids[p] << 32 | rank, -1)
             if r >= 0:
-                heapq.heappush(heap, r << 32 | p)
+                push(heap, r << bits | p)
     out, i = [], 0
     while i < n:
         out.append(ids[i])
@@ -138,40 +142,31 @@ class Codec:
         for k, s in zip(keys, self.mph.find(keys).tolist()):
             self.slots[s] = k
         self.slot_ids = [(self.ranks[k],) for k in self.slots]
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-
-    def learn(self, pieces: set[str]) -> None:
-        """Put the ids of these pre-tokens into ``known``: first tier by hash, the misses by merging.
-
-        A full generation becomes the older one, from which what is still in
-        use is taken over, so memory is bounded and frequent pre-tokens stay.
-        """
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        new = pieces.difference(self.known)
-        back = {p for p in new if p in self.older}
-        for piece in back:
-            self.known[piece] = self.older[piece]
-        rest = list(new.difference(back))
-        raw = [p.encode() for p in rest]
-        for piece, key, slot in zip(rest, raw, self.mph.find(raw).tolist()):
+        # One entry per id up to the largest; ids without a token have no bytes.
+        raw = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
+        self.raw = np.frombuffer(b"".join(raw), np.uint8)
+        self.raw_length = np.array([len(r) for r in raw], np.int64)
+        self.raw_start = np.cumsum(self.raw_length) - self.raw_length
+        self.table = DistinctTable(self.segments, REMEMBERED)
+
+    def segments(self, pieces: list[str]) -> Iterator[tuple[int, ...]]:
+        """Ids of every pre-token: first tier by hash, the misses by merging."""
+        raw = [p.encode() for p in pieces]
+        for key, slot in zip(raw, self.mph.find(raw).tolist()):
             whole = slot >= 0 and self.slots[slot] == key
-            self.known[piece] = self.slot_ids[slot] if whole else merge(key, self.byte_ids, self.pairs)
+            yield self.slot_ids[slot] if whole else merge(key, self.byte_ids, self.pairs)
 
-    def encode(self, text: str) -> Iterator[array]:
-        """Ids of ``text`` in order, in arrays of bounded length."""
-        if len(text) < PIECES:
-            runs = iter([self.pattern.findall(text)])
-        else:
-            found = (m.group() for m in self.pattern.finditer(text))
-            runs = iter(lambda: list(islice(found, PIECES)), [])
-        for pieces in runs:
-            self.learn(set(pieces))
-            yield array("I", chain.from_iterable(map(self.known.__getitem__, pieces)))
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+        """(number of the text, ids of its next part) in order, for many texts at a time."""
+        for group in runs(texts, self.pattern, PIECES):
+            ids, sizes = self.table.ids_of([p for _, part in group for p in part])
+            cuts = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0] + [len(part) for _, part in group])]
+            for (row, _), lo, hi in zip(group, cuts, cuts[1:]):
+                yield row, ids[lo:hi]
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of ``ids``."""
+        return slices(self.raw, self.raw_start, self.raw_length, ids.astype(np.int64))[0]
 
 
 @lru_cache(maxsize=2)
@@ -201,26 +196,21 @@ def encoded(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        types = [pa.int64(), pa.string(), pa.string(), pa.bool_()]
         for batch in batches:
-            rows: list[tuple] = []
-            kept: list[np.ndarray] = []
-            for cell in batch.column(1):
-                text = cell.as_py() or ""
-                n, ids_hash, bytes_hash = 0, hashlib.sha256(), hashlib.sha256()
-                for ids in c.encode(text):
-                    n += len(ids)
-                    numbers = np.frombuffer(ids, np.uintc)
-                    ids_hash.update(numbers.astype("<u4", copy=False))
-                    bytes_hash.update(c.decode(ids))
-                    if with_ids:
-                        kept.append(numbers.astype(np.int32))
-                same = bytes_hash.digest() == hashlib.sha256(text.encode()).digest()
-                rows.append((n, ids_hash.hexdigest(), bytes_hash.hexdigest(), same))
-            arrays = [batch.column(0)] + [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+            texts = batch.column(1).to_pylist()
+            done = Digests(len(texts))
+            kept: list[list[np.ndarray]] = [[] for _ in texts] if with_ids else []
+            for row, ids in c.encode(texts):
+                done.add(row, ids, c.decode(ids))
+                if with_ids:
+                    kept[row].append(ids.astype(np.int32))
+            arrays = [batch.column(0), *done.arrays()]
+            same = [h.digest() == hashlib.sha256((t or "").encode()).digest() for h, t in zip(done.bytes, texts)]
+            arrays.append(pa.array(same, pa.bool_()))
             if with_ids:
-                ends = np.cumsum([0] + [r[0] for r in rows]).astype(np.int32)
-                arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(kept + [np.zeros(0, np.int32)]))))
+                ends = pa.array(np.cumsum([0] + done.n).astype(np.int32))
+                whole = np.concatenate([x for parts in kept for x in parts] + [np.zeros(0, np.int32)])
+                arrays.append(pa.ListArray.from_arrays(ends, pa.array(whole)))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     ids = F.col(id_col).cast("long").alias("doc_id")
