@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.functions.scalars import bin_label, equal_width_bin, right_closed_bin
+from ridgeline.functions.scalars import bin_label, equal_width_bin, is_finite, right_closed_bin
 from ridgeline.operators.profiling import columns_of_type, unpivoted, zero_rate
 from ridgeline.operators.quantiles import exact_quantiles
 
@@ -19,40 +19,73 @@ def zero_rate_by_bin(df: DataFrame, target: str, column: str, edges: Sequence[fl
     return rates.withColumn("bin", bin_label(F.col("bin_number"), edges))
 
 
-def _bounds(df: DataFrame, *columns: str) -> list[float]:
-    """Smallest and largest value of each column: a pair of numbers per column.
+def _finite_bounds(df: DataFrame, *columns: str) -> list[float]:
+    """Smallest and largest finite value of each column: a pair of numbers per column.
 
-    An empty column has the bounds 0 and 0, which no row will meet.
+    A column without any has the bounds 0 and 0, which no finite row will meet.
     """
-    ends = [f(F.col(c).cast("double")) for c in columns for f in (F.min, F.max)]
+    ends = []
+    for c in columns:
+        v = F.col(c).cast("double")
+        ends += [f(F.when(is_finite(v), v)) for f in (F.min, F.max)]
     return [0.0 if v is None else v for v in df.agg(*ends).first()]
 
 
-def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """(bin, lower, upper, n) for every bin of equal width, empty ones included.
+# Where values lie that no bin holds: before the first bin, after the last, nowhere.
+UNDER, OVER, NO_NUMBER = -1, -2, -3
 
-    The bounds are two literals; the counted bins are one row of ``bins`` counts.
-    """
-    low, high = _bounds(df, column)
+
+def _binned(df: DataFrame, column: str, low: float, high: float, bins: int, *by: str) -> DataFrame:
+    """(by..., bin, n) of all values that are there: bins from 0, or one of the three other places."""
     v = F.col(column).cast("double")
-    number = equal_width_bin(v, F.lit(low), F.lit(high), bins)
-    counted = df.filter(v.isNotNull()).groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    by_bin = F.map_from_entries(F.collect_list(F.struct("bin", "n")))  # at most ``bins`` entries
+    inside = equal_width_bin(v, F.lit(low), F.lit(high), bins).cast("long")
+    place = (
+        F.when(F.isnan(v), F.lit(NO_NUMBER))
+        .when(v == float("inf"), F.lit(OVER))
+        .when(v == float("-inf"), F.lit(UNDER))
+        .otherwise(inside)
+    )
+    return df.filter(v.isNotNull()).groupBy(*by, place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def equal_width_histograms(df: DataFrame, column: str, bins: int, *by: str) -> DataFrame:
+    """(by..., bin, lower, upper, n) for every bin of equal width, empty ones included.
+
+    The bins span the finite values, of all groups together. Values that are not
+    finite get cells of their own where there are any: bin -1 for minus infinity
+    (under), ``bins`` for infinity (over), and NULL for NaN, which has no edges.
+    A group, or a table, without any value has no rows.
+    """
+    low, high = _finite_bounds(df, column)
+    counted = _binned(df, column, low, high, bins, *by)
+    cells = F.map_from_entries(F.collect_list(F.struct("bin", "n")))  # at most ``bins`` and three entries
     start, width = (low - 0.5, 1.0) if low == high else (low, high - low)
     step = F.lit(width) / bins
-    frame = counted.agg(by_bin.alias("counts")).filter(F.size("counts") > 0)
-    return frame.select("counts", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")).select(
-        F.col("bin").cast("long").alias("bin"),
-        (F.lit(start) + F.col("bin") * step).alias("lower"),
-        (F.lit(start) + (F.col("bin") + 1) * step).alias("upper"),
-        F.coalesce(F.try_element_at("counts", F.col("bin")), F.lit(0)).cast("long").alias("n"),
+    frame = counted.groupBy(*by).agg(cells.alias("counts")).filter(F.size("counts") > 0)
+    numbers = F.concat(F.sequence(F.lit(0), F.lit(bins - 1)), F.array(F.lit(UNDER), F.lit(OVER), F.lit(NO_NUMBER)))
+    bin_ = F.col("bin").cast("long")
+    n = F.coalesce(F.try_element_at("counts", bin_), F.lit(0)).cast("long")
+    infinite = F.lit(float("inf"))
+    rows = frame.select(*by, "counts", F.explode(numbers).alias("bin")).select(
+        *by,
+        F.when(bin_ >= UNDER, bin_).when(bin_ == OVER, F.lit(bins).cast("long")).alias("bin"),
+        F.when(bin_ >= 0, F.lit(start) + bin_ * step).when(bin_ == UNDER, -infinite).when(bin_ == OVER, F.lit(start + width)).alias("lower"),
+        F.when(bin_ >= 0, F.lit(start) + (bin_ + 1) * step).when(bin_ == UNDER, F.lit(start)).when(bin_ == OVER, infinite).alias("upper"),
+        n.alias("n"),
+        (bin_ >= 0).alias("_inside"),
     )
+    return rows.filter(F.col("_inside") | (F.col("n") > 0)).drop("_inside")
+
+
+def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+    """``equal_width_histograms`` of all rows together."""
+    return equal_width_histograms(df, column, bins)
 
 
 def scatter_grid(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
-    """Occupied cells of a ``bins`` x ``bins`` grid over two columns."""
-    present = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    x0, x1, y0, y1 = _bounds(present, x, y)
+    """Occupied cells of a ``bins`` x ``bins`` grid over the rows in which both columns are finite."""
+    present = df.filter(is_finite(F.col(x).cast("double")) & is_finite(F.col(y).cast("double")))
+    x0, x1, y0, y1 = _finite_bounds(present, x, y)
 
     def number(c: str, low: float, high: float):
         return equal_width_bin(F.col(c).cast("double"), F.lit(low), F.lit(high), bins).cast("long")

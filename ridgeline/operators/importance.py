@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.functions.scalars import base_feature, is_finite, nan_to_null
-from ridgeline.sources.scratch import held_if_small
+from ridgeline.sources.scratch import staged
 
 # Fixed value: how far the importances of a model may sum up beside 1.
 TOTAL_TOLERANCE = 0.01
@@ -67,7 +67,7 @@ def importance_rollup(encoded: DataFrame, features: Sequence[str], strict: bool
 
     Extra features are dropped from the result; ``expected_set_check`` lists them.
     """
-    rolled = held_if_small(rolled_up(encoded, features))  # a row per model and column
+    rolled = staged(rolled_up(encoded, features), "importances")  # the checks and the result read it
     if strict:
         missing = expected_set_check(rolled, features).filter("problem = 'missing'").collect()
         if missing:

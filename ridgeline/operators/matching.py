@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.scalars import agrees
+from ridgeline.operators.ranking import with_starts
 from ridgeline.sources.scratch import staged
 
 
@@ -109,8 +110,8 @@ def with_position(files: DataFrame) -> DataFrame:
     a file; the number of rows per block gives each block its offset. Where a
     block starts depends on how the files are cut when a job is planned, so the
     rows are written once with their labels, and offsets and result both come
-    from that copy. Blocks are added up per file; one row per file is ordered in
-    a single task.
+    from that copy. Blocks are added up in two levels, within ranges of their
+    order and over the ranges, however many files there are.
     """
     labelled = files.withColumns(
         {
@@ -121,11 +122,8 @@ def with_position(files: DataFrame) -> DataFrame:
     )
     rows = staged(labelled, "positions")
     blocks = rows.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first"))
-    by_file = blocks.groupBy("_path").agg(F.sum("_rows").alias("_file_rows"))
-    earlier = by_file.select("_path", (F.sum("_file_rows").over(Window.orderBy("_path")) - F.col("_file_rows")).alias("_start"))
-    within = F.sum("_rows").over(Window.partitionBy("_path").orderBy("_block")) - F.col("_rows")
-    offsets = blocks.withColumn("_within", within).join(earlier, "_path")
-    offsets = offsets.select("_path", "_block", (F.col("_start") + F.col("_within") - F.col("_first")).alias("_offset"))
+    starts = with_starts(blocks, [F.col("_path"), F.col("_block")], "_rows", "_start")
+    offsets = starts.select("_path", "_block", (F.col("_start") - F.col("_first")).alias("_offset"))
     placed = rows.join(offsets, ["_path", "_block"]).withColumn("position", F.col("_offset") + F.col("_seq"))
     return placed.select(*files.columns, "position")
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ridgeline.functions.scalars import percent, percent_text
 from ridgeline.operators.quantiles import INTERVAL_LIMIT, exact_quantiles
+from ridgeline.sources.scratch import staged
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -61,11 +62,40 @@ def null_profile(df: DataFrame) -> DataFrame:
     return long.select("column", "n_missing", "total_missing", (F.col("n_missing") > 0).alias("warn"))
 
 
+def _fingerprinted(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with two differently seeded hashes of every row, and their names.
+
+    Where NULLs stand is part of both hashes, which else skip them; columns that
+    no hash takes are read as JSON.
+    """
+    cells = [F.to_json(F.struct(f.name)) if "map" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema.fields]
+    gaps = F.array(*[F.col(f"`{c}`").isNull() for c in df.columns])
+    seeds = {"_print_1": F.lit("first"), "_print_2": F.lit("second")}
+    return df.withColumns({n: F.xxhash64(seed, gaps, *cells) for n, seed in seeds.items()}), list(seeds)
+
+
+def distinct_rows(df: DataFrame) -> tuple[int, int]:
+    """(rows, distinct rows); NULLs count as equal.
+
+    Only two hashes of a row are shuffled. Rows whose hashes occur more than
+    once, and no others, are then compared in full, so that rows which just share
+    both hashes stay apart. ``df`` is scanned twice if there are any.
+    """
+    marked, prints = _fingerprinted(df)
+    groups = staged(marked.groupBy(*prints).agg(F.count(F.lit(1)).alias("_copies")), "fingerprints")
+    several = groups.filter("_copies > 1").select(*prints)
+    rows, alone = groups.agg(F.coalesce(F.sum("_copies"), F.lit(0)), F.count_if(F.col("_copies") == 1)).first()
+    if rows == alone:
+        return rows, rows
+    # Copies combine on the map side; the hashes' table is broadcast where its files are small.
+    alike = marked.join(several, prints, "left_semi").drop(*prints)
+    return rows, alone + alike.groupBy(*df.columns).agg(F.count(F.lit(1))).count()
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows and copies after the first; NULLs count as equal."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
-    rows = F.coalesce(F.sum("copies"), F.lit(0)).cast("long")
-    return groups.agg(rows.alias("n_rows"), (rows - F.count(F.lit(1))).alias("n_duplicates"))
+    rows, distinct = distinct_rows(df)
+    return df.sparkSession.createDataFrame([(rows, rows - distinct)], "n_rows long, n_duplicates long")
 
 
 def describe(
@@ -145,25 +175,22 @@ def describe_by_zero(df: DataFrame, target: str, columns: Sequence[str]) -> Data
     return describe(flagged.filter(F.col("subset").isNotNull()), columns, by=["subset"])
 
 
-def dataset_summary(df: DataFrame, target: str) -> DataFrame:
+def dataset_summary(df: DataFrame, target: str, copies: tuple[int, int] | None = None) -> DataFrame:
     """Seven (key, value) rows: size, quality and zero share of a table.
 
-    The duplicate count needs all columns grouped; the other facts ride on the
-    same groups, weighted by their copies, so the table is read once.
+    ``copies`` is the result of ``distinct_rows`` if that is known already.
     """
-    copies = F.col("copies")
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    rows, distinct = copies or distinct_rows(df)
     missing = sum((F.col(c).isNull().cast("long") for c in df.columns[1:]), F.col(df.columns[0]).isNull().cast("long"))
-    facts = groups.agg(
-        F.coalesce(F.sum(copies), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(missing * copies), F.lit(0)).alias("missing"),
-        F.coalesce(F.sum(copies - 1), F.lit(0)).alias("duplicates"),
-        F.coalesce(F.sum(F.when(F.col(target) == 0, copies)), F.lit(0)).alias("zeros"),
+    facts = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(missing), F.lit(0)).alias("missing"),
+        F.count_if(F.col(target) == 0).alias("zeros"),
     ).select(
         F.col("rows").cast("string").alias("records"),
         F.lit(str(len(df.columns))).alias("columns"),
         F.col("missing").cast("string").alias("missing_values"),
-        F.col("duplicates").cast("string").alias("duplicate_rows"),
+        F.lit(str(rows - distinct)).alias("duplicate_rows"),
         F.lit(target).alias("target"),
         F.col("zeros").cast("string").alias("target_zero"),
         percent_text(percent(F.col("zeros"), F.col("rows"))).alias("target_zero_rate"),

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException, IllegalArgumentException
-from pyspark.ml import PipelineModel
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,17 +16,12 @@ SEED = 42
 # Spark ML grows trees to at most this depth; "no limit" is mapped to it.
 DEEPEST = 30
 # The layout of the training rows decides which rows a bootstrap draws, so it
-# follows from the number of rows alone, never from the size of the cluster. Every
-# partition sends its own node statistics, so their number stops growing at a bound.
+# follows from the number of rows alone, never from the size of the cluster.
 ROWS_PER_PARTITION = 1_000_000
 FEWEST_PARTITIONS = 8
-MOST_PARTITIONS = 20_000
 # Memory for node statistics per task and pass over the data. More nodes per pass
 # means fewer passes for deep forests of many trees.
 NODE_MEMORY_MB = 512
-# Remembering every row's node in every tree saves walking down from the root in
-# each pass, for 4 bytes per row and tree; done while that stays below this.
-NODE_ID_BYTES = 64 * 2**30
 
 
 @dataclass(frozen=True)
@@ -62,8 +56,7 @@ def training_layout(df: DataFrame, id_column: str, rows: int) -> DataFrame:
 
     The same rows give the same forest, however they were stored before.
     """
-    wanted = -(-rows // ROWS_PER_PARTITION)
-    partitions = min(max(FEWEST_PARTITIONS, wanted), MOST_PARTITIONS)
+    partitions = max(FEWEST_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
     return df.repartition(partitions, id_column).sortWithinPartitions(id_column)
 
 
@@ -81,9 +74,18 @@ class kept:
 
 
 def fit_forest(
-    train: DataFrame, config: ForestConfig, label: str, features: str = "features", seed: int = SEED
+    train: DataFrame,
+    config: ForestConfig,
+    label: str,
+    features: str = "features",
+    seed: int = SEED,
+    cache_node_ids: bool = True,
 ) -> RandomForestRegressionModel:
-    """Fit on ``train``, which should be persisted: it is counted and then read repeatedly."""
+    """Fit on ``train``, which should be persisted: it is read repeatedly.
+
+    ``cache_node_ids`` remembers every row's node in every tree, in memory and on
+    disk, at 4 bytes per row and tree; without it each pass walks down from the root.
+    """
     forest = RandomForestRegressor(
         featuresCol=features,
         labelCol=label,
@@ -91,7 +93,7 @@ def fit_forest(
         maxDepth=DEEPEST if config.depth is None else config.depth,
         minInstancesPerNode=config.min_leaf,
         maxMemoryInMB=NODE_MEMORY_MB,
-        cacheNodeIds=train.count() * config.trees * 4 <= NODE_ID_BYTES,
+        cacheNodeIds=cache_node_ids,
         seed=seed,
     )
     return forest.fit(train)
@@ -133,6 +135,59 @@ def timed(action: Callable):
     return result, time.perf_counter() - start
 
 
+def score_models(rows: DataFrame, models: Sequence[RandomForestRegressionModel], label: str) -> DataFrame:
+    """(place, n, MAE, RMSE, R2) of every model, its predictions a column beside the others, from one pass over ``rows``."""
+    y = F.col(label).cast("double")
+    scored, cells = rows.filter(y.isNotNull()), []
+    for place, model in enumerate(models, start=1):
+        predicted = f"_predicted_{place}"
+        scored = model.copy({model.predictionCol: predicted}).transform(scored)
+        e = y - F.col(predicted)
+        cells.append(
+            F.struct(
+                F.lit(place).cast("long").alias("place"),
+                F.count(F.lit(1)).alias("n"),
+                F.avg(F.abs(e)).alias("MAE"),
+                F.sqrt(F.avg(e * e)).alias("RMSE"),
+                (1 - F.try_divide(F.avg(e * e), F.var_pop(y))).alias("R2"),
+            )
+        )
+    return scored.agg(F.array(*cells).alias("_models")).select(F.inline("_models"))
+
+
+class Journal:
+    """Finished configurations of one search in a folder that the cluster shares.
+
+    An entry is written after its model, so a search that broke off between the
+    two fits that configuration again. Entries of other rows, other labels or
+    another seed lie under another key and are not read.
+    """
+
+    def __init__(self, train: DataFrame, path: str, label: str, id_column: str, seed: int):
+        self.spark = train.sparkSession
+        own = F.xxhash64(id_column, F.col(label).cast("double"))
+        rows, mark = train.agg(F.count(F.lit(1)), F.bit_xor(own)).first()
+        self.path = f"{path}/{label}-{seed}-{rows}-{(mark or 0) & (1 << 64) - 1:016x}"
+
+    def _place(self, config: ForestConfig) -> str:
+        return f"{self.path}/trees={config.trees},depth={config.depth},min_leaf={config.min_leaf}"
+
+    def find(self, config: ForestConfig) -> tuple[RandomForestRegressionModel, float] | None:
+        entry = f"{self._place(config)}/entry"
+        sc = self.spark.sparkContext
+        place = sc._jvm.org.apache.hadoop.fs.Path(f"{entry}/_SUCCESS")
+        if not place.getFileSystem(sc._jsc.hadoopConfiguration()).exists(place):
+            return None
+        seconds = json.loads(self.spark.read.text(entry).first()[0])["fit_seconds"]
+        return RandomForestRegressionModel.load(f"{self._place(config)}/model"), seconds
+
+    def add(self, config: ForestConfig, model: RandomForestRegressionModel, seconds: float) -> None:
+        model.write().overwrite().save(f"{self._place(config)}/model")
+        text = json.dumps(asdict(config) | {"fit_seconds": seconds})
+        entry = self.spark.createDataFrame([(text,)], "entry string").coalesce(1)
+        entry.write.mode("overwrite").text(f"{self._place(config)}/entry")
+
+
 @dataclass
 class Search:
     results: DataFrame
@@ -142,42 +197,54 @@ class Search:
 
 
 def grid_search(
-    train: DataFrame, validation: DataFrame, grid: Sequence[ForestConfig], label: str, seed: int = SEED
+    train: DataFrame,
+    validation: DataFrame,
+    grid: Sequence[ForestConfig],
+    label: str,
+    seed: int = SEED,
+    journal: Journal | None = None,
 ) -> Search:
-    """Fit every configuration, score it on the fixed validation rows, keep the best.
+    """Fit every configuration, score all of them in one pass over the validation rows, keep the best.
 
     The lowest RMSE wins, the earlier configuration on ties; its model is kept,
-    so nothing is fitted twice.
+    so nothing is fitted twice. Configurations that ``journal`` has are loaded
+    with their fit seconds. ``predict_seconds`` is a model's share of the pass.
     """
-    rows, best = [], None
-    for place, config in enumerate(grid, start=1):
-        model, fit_s = timed(lambda: fit_forest(train, config, label, seed=seed))
-        score, predict_s = timed(
-            lambda: regression_metrics(model.transform(validation), label, "prediction").first()
-        )
-        rows.append(
-            (place, config.trees, config.depth, config.min_leaf, score["MAE"], score["RMSE"], score["R2"], fit_s, predict_s)
-        )
-        if best is None or score["RMSE"] < best[0]:
-            best = (score["RMSE"], config, model, fit_s)
+    fitted: list[tuple[RandomForestRegressionModel, float]] = []
+    for config in grid:
+        found = journal.find(config) if journal else None
+        if found is None:
+            found = timed(lambda: fit_forest(train, config, label, seed=seed))
+            if journal:
+                journal.add(config, *found)
+        fitted.append(found)
+    scores, seconds = timed(lambda: score_models(validation, [m for m, _ in fitted], label).orderBy("place").collect())
+    rows = [
+        (place, config.trees, config.depth, config.min_leaf, score["MAE"], score["RMSE"], score["R2"], fit_s, seconds / len(grid))
+        for place, (config, (_, fit_s), score) in enumerate(zip(grid, fitted, scores), start=1)
+    ]
     results = train.sparkSession.createDataFrame(
         rows,
         "place long, trees int, depth int, min_leaf int, validation_MAE double, validation_RMSE double, "
         "validation_R2 double, fit_seconds double, predict_seconds double",
     )
-    return Search(results, *best[1:])
+    best = min(range(len(grid)), key=lambda i: scores[i]["RMSE"])
+    return Search(results, grid[best], *fitted[best])
 
 
-def feature_importances(
-    train: DataFrame, model: RandomForestRegressionModel, names: Sequence[str]
-) -> DataFrame:
-    """(feature, importance), one row per entry of the feature vector."""
-    values = [float(v) for v in model.featureImportances.toArray()]
-    if len(values) != len(names):
-        raise ValueError(f"{len(names)} names for {len(values)} importances")
-    return train.sparkSession.createDataFrame(
-        list(zip(names, values)), "feature string, importance double"
-    )
+def feature_importances(model: RandomForestRegressionModel, names: DataFrame) -> DataFrame:
+    """(feature, importance), one row per entry of the feature vector; ``names`` has (position, name).
+
+    The model's entries that are not zero come from the driver, where the forest is.
+    """
+    values = model.featureImportances
+    held = names.count()
+    if values.size != held:
+        raise ValueError(f"{held} names for {values.size} importances")
+    entries = [(int(i), float(v)) for i, v in zip(values.indices, values.values)]
+    found = names.sparkSession.createDataFrame(entries, "position long, importance double")
+    joined = names.join(found, "position", "left")
+    return joined.select(F.col("name").alias("feature"), F.coalesce("importance", F.lit(0.0)).alias("importance"))
 
 
 def top_importances(importances: DataFrame, n: int) -> DataFrame:
@@ -186,25 +253,3 @@ def top_importances(importances: DataFrame, n: int) -> DataFrame:
 
 def config_table(spark, configs: Sequence[ForestConfig]) -> DataFrame:
     return spark.createDataFrame([tuple(asdict(c).values()) for c in configs], "trees int, depth int, min_leaf int")
-
-
-def load_or_refit(path: str, refit: Callable[[], PipelineModel], probe: DataFrame) -> tuple[PipelineModel, bool]:
-    """Stored pipeline and True, or a newly fitted and stored one and False.
-
-    A pipeline is missing when nothing is stored under ``path``, and unusable
-    when it does not accept the probe's schema; only then it is fitted again.
-    Any other failure, such as a denied read, is raised and the stored pipeline
-    stays as it is. No row of the probe is read.
-    """
-    sc = probe.sparkSession.sparkContext
-    place = sc._jvm.org.apache.hadoop.fs.Path(path)
-    if place.getFileSystem(sc._jsc.hadoopConfiguration()).exists(place):
-        model = PipelineModel.load(path)
-        try:
-            model.transform(probe)
-            return model, True
-        except (AnalysisException, IllegalArgumentException):  # the schema has changed
-            pass
-    model = refit()
-    model.write().overwrite().save(path)
-    return model, False

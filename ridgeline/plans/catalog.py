@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,14 +30,15 @@ from ridgeline.plans.comparison import forest_label
 from ridgeline.plans.order_profile import order_profile, table
 from ridgeline.sources import files
 from ridgeline.sources import run_info as RI
-from ridgeline.sources.scratch import held_if_small, scratch_path, staged
+from ridgeline.sources.results import DISTRIBUTED, SINGLE_NODE, mapped
+from ridgeline.sources.scratch import scratch_path, staged
 
 ROLES = ORDER_PROFILE
 TARGET = ROLES.target
 LINE_NUMERICS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 QTY_EDGES = [0, 25, 50, 100, 150, 200, 250, 300]
-SMALL_FOREST = R.ForestConfig(20, 5)
-SMALL_GRID = (R.ForestConfig(10, 4), R.ForestConfig(20, 4), R.ForestConfig(20, 5))
+#: The first configuration of the distributed search.
+FOREST = R.DISTRIBUTED_GRID[0]
 PART_FEATURES = ("p_size", "p_retailprice", "p_brand", "p_type", "p_name")
 MODELS = ("ignore", "keep")
 SUBSET = Roles("record_id", ("totalprice", "acctbal"), ("status", "priority"), "target")
@@ -78,7 +79,7 @@ def group_mean_predictions(rows: DataFrame, columns: list[str]) -> DataFrame:
     out = rows
     for c in columns:
         means = train.groupBy(c).agg(F.round(F.avg(TARGET), 2).alias(f"by_{c}"))
-        out = out.join(held_if_small(means), c, "left").withColumn(f"by_{c}", F.coalesce(f"by_{c}", overall))
+        out = out.join(means, c, "left").withColumn(f"by_{c}", F.coalesce(f"by_{c}", overall))
     return out
 
 
@@ -181,7 +182,7 @@ def preview(spark, d):
 
 
 def duplicate_rows(spark, d):
-    return P.duplicate_rows(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"))
+    return P.duplicate_rows(table(spark, d, "lineitem"))
 
 
 def describe_numeric(spark, d):
@@ -318,7 +319,7 @@ def regression_metrics(spark, d):
 
 
 def comparison_metrics(spark, d):
-    both = held_if_small(predictor_metrics(spark, d))
+    both = staged(predictor_metrics(spark, d), "metrics")
     tables = {m: both.filter(F.col("model") == m).drop("model", "n") for m in ("priority", "segment")}
     place = split_position(F.col("split")).cast("long").alias("place")
     return rounded_metrics(C.metric_table(tables).select(place, "split", "model", *C.METRICS))
@@ -372,7 +373,7 @@ def mean_search(spark, d) -> DataFrame:
 
 
 def best_config(spark, d):
-    search = held_if_small(mean_search(spark, d))
+    search = staged(mean_search(spark, d), "search")
     info = staged_run_info(spark, d)
     summary = None
     for model, names in {"first": (1, 2), "second": (3, 4)}.items():
@@ -384,7 +385,7 @@ def best_config(spark, d):
 
 
 def configs_in_order(spark, d):
-    search = held_if_small(mean_search(spark, d)).select("place", "trees", "RMSE")
+    search = mean_search(spark, d).select("place", "trees", "RMSE")
     ordered = M.rows_in_order(search, [4, 2, 1], "place").select(
         F.col("place").cast("long").alias("place"), F.col("trees").cast("long").alias("trees"), "RMSE"
     )
@@ -409,7 +410,7 @@ def importance_by_model(spark, d):
 
 
 def top_features_per_model(spark, d):
-    return rounded(I.top_features(part_rollup(spark, d), 3), 6)
+    return rounded(I.top_features(part_rollup(spark, d)), 6)
 
 
 def importance_totals(spark, d):
@@ -420,13 +421,16 @@ def importance_totals(spark, d):
 
 
 def table_run_info(spark, d) -> DataFrame:
-    """Run-info row whose entries are measured on the orders table."""
+    """Run-info row whose entries are measured on the orders table and on the first simple model."""
     price = F.col("o_totalprice")
+    master = F.concat(F.lit("local["), F.count_distinct("o_orderstatus").cast("string"), F.lit("]"))
     row = table(spark, d, "orders").agg(
         F.lit("orders").alias("spark_version"),
-        F.concat(F.lit("local["), F.count_distinct("o_orderstatus").cast("string"), F.lit("]")).alias("spark_master"),
+        master.alias("spark_master"),
+        F.concat(F.lit("Local mode: "), master).alias("mode"),
         F.lit("orders").alias("app_name"),
         F.count_distinct("o_orderpriority").alias("default_parallelism"),
+        F.lit("N/A (local mode)").alias("executors"),
         *[F.count(F.lit(1)).alias(f"{s}_partitions") for s in SPLITS],
         F.round(F.min(price), 2).alias("preprocessing_fit_time_s"),
         F.round(F.max(price), 2).alias("final_train_time_s"),
@@ -435,7 +439,10 @@ def table_run_info(spark, d) -> DataFrame:
         F.count_distinct("o_orderstatus").alias("best_max_depth"),
         F.lit(42).cast("long").alias("seed"),
     )
-    return held_if_small(row)
+    metrics = predictor_metrics(spark, d).filter(F.col("model") == "priority")
+    final = metrics.agg(*[F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}") for s in SPLITS for m in C.METRICS])
+    # Two rows of one aggregate each, pasted side by side by a key of their own.
+    return staged(row.withColumn("_one", F.lit(1)).join(final.withColumn("_one", F.lit(1)), "_one").drop("_one"), "run_info")
 
 
 def staged_run_info(spark, d) -> DataFrame:
@@ -451,7 +458,7 @@ def run_info_parse(spark, d):
 def run_info_sink(spark, d):
     path = scratch_path(spark, "run_info")
     RI.write_run_info(table_run_info(spark, d), path)
-    return spark.read.schema(RI.RUN_INFO_SCHEMA).json(f"{path}/json")
+    return rounded(spark.read.schema(RI.RUN_INFO_SCHEMA).json(f"{path}/json"), 4, RI.FINAL_METRICS)
 
 
 def csv_roundtrip(spark, d):
@@ -512,18 +519,25 @@ def onehot_keep(spark, d):
 
 def encoded_feature_names(spark, d):
     rows = split_rows(spark, d)
-    out = []
+    out = None
     for encoder in MODELS:
-        names = training.prepare(rows, ROLES, encoder=encoder).names
-        out += [(encoder, i, n) for i, n in enumerate(names)]
-    return spark.createDataFrame(out, "encoder string, position long, name string")
+        names = training.prepare(rows, ROLES, encoder=encoder).encoder.names()
+        part = names.select(F.lit(encoder).alias("encoder"), "position", "name")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def level_dictionary(spark, d):
+    """Levels of the part table's text columns, names of parts included, ranked by frequency."""
+    levels = X.level_dictionary(table(spark, d, "part"), ["p_name", "p_brand", "p_type"], "frequency")
+    return levels.select("column", "level", "n", "place")
 
 
 def full_vector_scaled(spark, d):
     rows = split_rows(spark, d, *SUBSET.features)
     done = training.prepare(rows, SUBSET, scale=True)
     v = vector_to_array("features")
-    return done.rows.select("record_id", *[F.round(_entry(v, i), 6).alias(f"v{i}") for i in range(len(done.names))])
+    return done.rows.select("record_id", *[F.round(_entry(v, i), 6).alias(f"v{i}") for i in range(done.encoder.width)])
 
 
 def feature_matrix_check(spark, d):
@@ -537,7 +551,7 @@ def forest_metrics(spark, d):
     """Flagship: order profile, split, encode, fit, metrics of every split."""
     done = prepared(spark, d)
     with R.kept(training.training_rows(done, ROLES)) as train:
-        model = R.fit_forest(train, SMALL_FOREST, TARGET)
+        model = R.fit_forest(train, FOREST, TARGET)
     return training.split_metrics(model.transform(done.rows), ROLES)
 
 
@@ -548,30 +562,30 @@ def forest_baseline(spark, d):
 def forest_importance(spark, d):
     done = prepared(spark, d)
     with R.kept(training.training_rows(done, ROLES)) as train:
-        model = R.fit_forest(train, SMALL_FOREST, TARGET)
-        return R.top_importances(R.feature_importances(train, model, done.names), 20)
+        model = R.fit_forest(train, FOREST, TARGET)
+    return R.top_importances(R.feature_importances(model, done.encoder.names()), 20)
 
 
 def forest_importance_rollup(spark, d):
     done = prepared(spark, d)
     with R.kept(training.training_rows(done, ROLES)) as train:
-        model = R.fit_forest(train, SMALL_FOREST, TARGET)
-        encoded = R.feature_importances(train, model, done.names)
+        model = R.fit_forest(train, FOREST, TARGET)
+    encoded = R.feature_importances(model, done.encoder.names())
     return I.importance_rollup(encoded.withColumn("model", F.lit("forest")), ROLES.features)
 
 
 def forest_grid_search(spark, d):
-    return training.train_and_evaluate(prepared(spark, d), ROLES, SMALL_GRID).search.results
+    return training.train_and_evaluate(prepared(spark, d), ROLES, R.DISTRIBUTED_GRID).search.results
 
 
 def forest_best_metrics(spark, d):
-    return training.train_and_evaluate(prepared(spark, d), ROLES, SMALL_GRID).metrics
+    return training.train_and_evaluate(prepared(spark, d), ROLES, R.DISTRIBUTED_GRID).metrics
 
 
 def _test_predictions(spark, d) -> tuple[DataFrame, DataFrame]:
     done = prepared(spark, d)
     with R.kept(training.training_rows(done, ROLES)) as train:
-        model = R.fit_forest(train, SMALL_FOREST, TARGET)
+        model = R.fit_forest(train, FOREST, TARGET)
     source = done.split(SPLITS[2])
     return model.transform(source), source
 
@@ -593,22 +607,203 @@ def forest_reconciled(spark, d):
     return M.reconcile(predicted, source, ROLES.id, TARGET)
 
 
+def forest_checks(spark, d):
+    """What must hold of any forest: counted where SQL can count, else the number of violations."""
+    done = prepared(spark, d)
+    with R.kept(training.training_rows(done, ROLES)) as train:
+        model = R.fit_forest(train, FOREST, TARGET)
+    scored = staged(model.transform(done.rows).select(ROLES.id, TARGET, "split", "prediction"), "scored")
+    mean = done.split(SPLITS[0]).agg(F.avg(TARGET)).first()[0]
+    metrics = training.split_metrics(scored, ROLES)
+    spreads = scored.groupBy("split").agg(F.sqrt(F.avg((F.col(TARGET) - mean) ** 2)).alias("of_the_mean"))
+    encoded = R.feature_importances(model, done.encoder.names())
+    rolled = I.rolled_up(encoded.withColumn("model", F.lit("forest")), ROLES.features)
+    low, high = scored.filter(F.col("split") == SPLITS[0]).agg(F.min(TARGET), F.max(TARGET)).first()
+    frames = [
+        metrics.select(F.concat("split", F.lit(" rows")).alias("check"), F.col("n").alias("value")),
+        metrics.agg(F.lit("RMSE below MAE").alias("check"), F.count_if(F.col("RMSE") < F.col("MAE")).alias("value")),
+        metrics.join(spreads, "split").agg(F.lit("no better than the mean"), F.count_if(F.col("RMSE") >= F.col("of_the_mean"))),
+        scored.agg(F.lit("predictions outside the training targets"), F.count_if(~F.col("prediction").between(low, high))),
+        encoded.agg(F.lit("encoded features"), F.count(F.lit(1))),
+        encoded.agg(F.lit("importances in thousandths"), F.round(F.sum("importance") * 1000).cast("long")),
+        encoded.agg(F.lit("negative importances"), F.count_if(F.col("importance") < 0)),
+        rolled.agg(F.lit("features"), F.count(F.lit(1))),
+    ]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.union(frame)
+    return out
+
+
+def forest_search_checks(spark, d):
+    """The real grid: every configuration in its place, scored on all validation rows, and one best one."""
+    done = prepared(spark, d)
+    with R.kept(training.training_rows(done, ROLES)) as train:
+        search = R.grid_search(train, done.split(SPLITS[1]), R.DISTRIBUTED_GRID, TARGET)
+    best = F.struct("validation_RMSE", "place") == F.min(F.struct("validation_RMSE", "place")).over(Window.partitionBy(F.lit(1)))
+    chosen = [F.lit(search.best.trees) == F.col("trees"), F.lit(search.best.depth) == F.col("depth")]
+    return search.results.select(
+        "place", "trees", "depth", "min_leaf",
+        (F.col("validation_RMSE") >= F.col("validation_MAE")).alias("errors_in_order"),
+        (F.col("validation_R2") > 0).alias("better_than_the_mean"),
+        (best == (chosen[0] & chosen[1])).alias("best_is_chosen"),
+    )
+
+
 def feature_model_roundtrip(spark, d):
-    """Encoders stored and loaded again; both must give the same vectors."""
+    """Encoder stored and loaded again; both must give the same vectors."""
     rows = split_rows(spark, d)
     train = rows.filter(F.col("split") == SPLITS[0])
-    fit = lambda: X.keep_unknown_pipeline(ROLES, scale=False).fit(train)
+    fit = lambda: X.fit_keep_unknown(train, ROLES)
     path = scratch_path(spark, "encoders")
-    fitted, _ = R.load_or_refit(path, fit, rows)
-    loaded, was_stored = R.load_or_refit(path, fit, rows)
+    fitted, _ = X.load_or_fit(path, fit, rows)
+    loaded, was_stored = X.load_or_fit(path, fit, rows)
     sums = []
-    for model in (fitted, loaded):
+    for encoder in (fitted, loaded):
         total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, v: a + v)
-        sums.append(model.transform(rows).select("record_id", total.alias("total")))
+        sums.append(encoder.transform(rows).select("record_id", total.alias("total")))
     both = M.one_to_one_join(sums[0], sums[1], "record_id", ("_fitted", "_loaded"))
     return M.disagreements(both, "total_fitted", "total_loaded").withColumn("was_stored", F.lit(was_stored))
 
 
+def loaded_encoder_vectors(spark, d):
+    """What a stored encoder makes of the rows once it is loaded again."""
+    rows = split_rows(spark, d)
+    path = scratch_path(spark, "encoders")
+    X.fit_keep_unknown(rows.filter(F.col("split") == SPLITS[0]), ROLES).save(path)
+    return _encoded_text(X.load_encoder(spark, path).transform(rows), len(ROLES.numeric))
+
+
+# --- damaged copies: checks that find something ------------------------------
+
+
+def damaged(df: DataFrame, key: str, missing: str | None = None, not_a_number: str | None = None, infinite: str | None = None) -> DataFrame:
+    """One rule for all damaged copies, by the remainder of the key divided by 97.
+
+    1: ``missing`` is NULL. 2: ``not_a_number`` is NaN. 3: ``infinite`` is
+    infinity, 4: minus infinity. The other remainders are left to ``changed``.
+    """
+    by = F.col(key) % 97
+    cells: dict[str, Column] = {}
+    if missing:
+        cells[missing] = F.when(by != 1, F.col(missing))
+    if not_a_number:
+        value = cells.get(not_a_number, F.col(not_a_number))
+        cells[not_a_number] = F.when(by == 2, F.lit(float("nan"))).otherwise(value)
+    if infinite:
+        value = cells.get(infinite, F.col(infinite))
+        cells[infinite] = F.when(by == 3, F.lit(float("inf"))).when(by == 4, F.lit(float("-inf"))).otherwise(value)
+    return df.withColumns(cells)
+
+
+def changed(df: DataFrame, key: str, actual: str) -> DataFrame:
+    """A damaged prediction table: remainder 5 comes twice, 6 is lost, 7 has another actual value, 1 no key."""
+    by = F.col(key) % 97
+    out = df.filter(by != 6).withColumns({actual: F.when(by == 7, F.col(actual) + 1).otherwise(F.col(actual))})
+    out = out.unionByName(out.filter(by == 5))
+    return out.withColumn(key, F.when(by != 1, F.col(key)))
+
+
+def null_profile_damaged(spark, d):
+    lines = damaged(table(spark, d, "lineitem"), "l_orderkey", "l_quantity", "l_tax")
+    return P.null_profile(files.normalised(lines))
+
+
+def reconcile_damaged(spark, d):
+    both = staged(predictors(spark, d), "predictors")
+    source = one_model(both, "segment", "test")
+    return M.reconcile(changed(one_model(both, "priority", "test"), "record_id", "actual_target"), source, "record_id", "actual_target")
+
+
+def feature_matrix_damaged(spark, d):
+    rows = damaged(split_rows(spark, d), "record_id", "qty", "totalprice", "acctbal")
+    done = training.prepare(rows, ROLES, invalid="keep")
+    return X.feature_matrix_check(done.rows, "split")
+
+
+def importance_checks_damaged(spark, d):
+    """Brands by the last digit of their name: some without an importance, some with a negative one."""
+    value = F.when(F.col("p_brand").endswith("1"), F.lit("nan")).when(F.col("p_brand").endswith("2"), F.lit("-0.5")).otherwise(F.lit("0.25"))
+    encoded = table(spark, d, "part").select("p_brand").distinct().select(
+        F.substring("p_brand", 1, 7).alias("model"), F.concat(F.lit("f"), "p_brand").alias("feature"), value.alias("importance")
+    )
+    rolled = I.rolled_up(encoded, [])
+    return I.importance_checks(rolled.withColumn("importance_encoded", F.when(F.col("feature").endswith("3"), F.lit(float("inf"))).otherwise(F.col("importance_encoded")))).drop("total")
+
+
+def histogram_damaged(spark, d):
+    events = damaged(table(spark, d, "events"), "event_id", "value", "value", "value")
+    cells = D.equal_width_histogram(events, "value", 50)
+    finite = lambda c: F.when(F.abs(c) < float("inf"), F.round(c, 6)).alias(c)
+    return cells.select("bin", finite("lower"), finite("upper"), "n")
+
+
+# --- results of another program ----------------------------------------------
+
+
+def _foreign_csv(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``df`` written as CSV under other column names and read back as text."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "foreign")
+    files.write_table(df.select(*[F.col(c).alias(n) for c, n in names.items()]).coalesce(1), path, "csv")
+    return spark.read.option("header", True).csv(path)
+
+
+def foreign_searches(spark, d) -> dict[str, DataFrame]:
+    """Two search tables in the columns of two other programs, mapped to the names used here."""
+    search = staged(mean_search(spark, d), "search").orderBy("place")
+    single = {"trees": "n_estimators", "depth": "max_depth", "leaf": "min_samples_leaf", "RMSE": "rmse_val", "MAE": "mae_val", "R2": "r2_val", "fit_seconds": "train_time_s", "share": "pred_time_s"}
+    spread = {"trees": "numTrees", "depth": "maxDepth", "MAE": "validation_MAE", "RMSE": "validation_RMSE", "R2": "validation_R2", "fit_seconds": "fit_time_seconds"}
+    # One of them writes whole numbers with a fraction where a cell of the column is empty.
+    first = search.filter("place % 2 = 0").withColumns({"depth": F.col("depth").cast("double"), "leaf": F.col("place"), "share": F.lit("n/a")})
+    return {
+        "single": mapped(_foreign_csv(first, single), SINGLE_NODE.search, "single-node search"),
+        "spread": mapped(_foreign_csv(search.filter("place % 2 = 1"), spread), DISTRIBUTED.search, "distributed search"),
+    }
+
+
+def foreign_summary(spark, d):
+    """Model summary from search tables and run info in the layouts of two other programs."""
+    found = foreign_searches(spark, d)
+    info = staged_run_info(spark, d)
+    lines = []
+    for name, layout, mode, own in (("single", SINGLE_NODE, "one machine", None), ("spread", DISTRIBUTED, "cluster", info)):
+        best = C.best_configuration(found[name], "validation_RMSE", "place", layout.configuration(), "fit_seconds")
+        lines.append(C.summary_row(best, name, layout.framework, mode, own))
+    return rounded(lines[0].unionByName(lines[1]))
+
+
+def foreign_search_rows(spark, d):
+    found = foreign_searches(spark, d)
+    columns = ["trees", "depth", "validation_MAE", "validation_RMSE", "validation_R2", "fit_seconds"]
+    parts = [found[n].select(F.lit(n).alias("model"), *columns, more.cast("double").alias("predict_seconds")) for n, more in (("single", F.col("predict_seconds")), ("spread", F.lit(None)))]
+    return rounded(parts[0].unionByName(parts[1]), 4, columns[2:])
+
+
+def foreign_comparison(spark, d):
+    """Metric table of two models from files whose other columns are not wanted."""
+    both = staged(predictor_metrics(spark, d), "metrics")
+    tables = {}
+    for model, layout, more in (("priority", SINGLE_NODE, {"n": "pred_time_s"}), ("segment", DISTRIBUTED, {})):
+        names = {"split": "split", **{m: m for m in C.METRICS}, **more}
+        tables[model] = mapped(_foreign_csv(both.filter(F.col("model") == model), names), layout.metrics, model)
+    place = split_position(F.col("split")).cast("long").alias("place")
+    return rounded_metrics(C.metric_table(tables).select(place, "split", "model", *C.METRICS))
+
+
+def foreign_importances(spark, d):
+    """Roll-up of importances whose files name the columns differently and hold cells that are no number."""
+    encoded = staged(encoded_importances(spark, d), "importances")
+    parts = None
+    for model, layout, shown in (("ignore", SINGLE_NODE, "feature"), ("keep", DISTRIBUTED, "feature_name")):
+        text = F.when(F.col("feature") == "p_container", F.lit("none given")).otherwise(F.col("importance").cast("string"))
+        rows = encoded.filter(F.col("model") == model).select("feature", text.alias("importance"))
+        part = mapped(_foreign_csv(rows, {"feature": shown, "importance": "importance"}), layout.importances, model).withColumn("model", F.lit(model))
+        parts = part if parts is None else parts.unionByName(part)
+    out = I.importance_rollup(parts, PART_FEATURES).withColumn("rank", F.col("rank").cast("long"))
+    return rounded(out, 6)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zero_rate_by_category": zero_rate_by_category,
     "zero_rate_by_bin": zero_rate_by_bin,
@@ -662,6 +857,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "onehot_ignore": onehot_ignore,
     "onehot_keep": onehot_keep,
     "encoded_feature_names": encoded_feature_names,
+    "level_dictionary": level_dictionary,
     "full_vector_scaled": full_vector_scaled,
     "feature_matrix_check": feature_matrix_check,
     "forest_metrics": forest_metrics,
@@ -673,5 +869,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forest_predictions": forest_predictions,
     "forest_prediction_records": forest_prediction_records,
     "forest_reconciled": forest_reconciled,
+    "forest_checks": forest_checks,
+    "forest_search_checks": forest_search_checks,
     "feature_model_roundtrip": feature_model_roundtrip,
+    "loaded_encoder_vectors": loaded_encoder_vectors,
+    "null_profile_damaged": null_profile_damaged,
+    "reconcile_damaged": reconcile_damaged,
+    "feature_matrix_damaged": feature_matrix_damaged,
+    "importance_checks_damaged": importance_checks_damaged,
+    "histogram_damaged": histogram_damaged,
+    "foreign_summary": foreign_summary,
+    "foreign_search_rows": foreign_search_rows,
+    "foreign_comparison": foreign_comparison,
+    "foreign_importances": foreign_importances,
 }

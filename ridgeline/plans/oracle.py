@@ -136,6 +136,18 @@ SELECT i AS bin, round(lo + i * ((hi - lo) / 50), 6) AS lower, round(lo + (i + 1
        coalesce(n, 0) AS n
 FROM (SELECT range AS i FROM range(50)) AS r CROSS JOIN b LEFT JOIN counted ON bin = i"""
 
+HISTOGRAM_DAMAGED = f"""
+WITH kept AS (SELECT value FROM events WHERE event_id % 97 NOT IN (1, 2, 3, 4)),
+b AS (SELECT min(value) AS lo, max(value) AS hi FROM kept),
+binned AS (SELECT {bin_number('value', 'lo', 'hi', 50)} AS bin FROM kept, b),
+counted AS (SELECT bin, count(*) AS n FROM binned GROUP BY bin)
+SELECT i AS bin, round(lo + i * ((hi - lo) / 50), 6) AS lower, round(lo + (i + 1) * ((hi - lo) / 50), 6) AS upper,
+       coalesce(n, 0) AS n
+FROM (SELECT range AS i FROM range(50)) AS r CROSS JOIN b LEFT JOIN counted ON bin = i
+UNION ALL SELECT -1, NULL, any_value(round(lo, 6)), count(*) FROM events, b WHERE event_id % 97 = 4
+UNION ALL SELECT 50, any_value(round(hi, 6)), NULL, count(*) FROM events, b WHERE event_id % 97 = 3
+UNION ALL SELECT NULL, NULL, NULL, count(*) FROM events WHERE event_id % 97 = 2"""
+
 GRID = f"""
 WITH b AS (SELECT min(l_quantity) AS x0, max(l_quantity) AS x1, min(l_extendedprice) AS y0, max(l_extendedprice) AS y1 FROM lineitem),
 cells AS (SELECT {bin_number('l_quantity', 'x0', 'x1', 20)} AS x_bin,
@@ -179,6 +191,27 @@ def reconcile(label: str, split: str) -> str:
     return union(f"SELECT '{n}' AS \"check\", CAST(({q}) AS BIGINT) AS violations, '{label}' AS against" for n, q in checks.items())
 
 
+def reconciled(predictions: str, source: str) -> str:
+    """Checks of one table of (record_id, actual) against another."""
+    p, s = predictions, source
+    checks = {
+        "row_count_difference": f"SELECT abs((SELECT count(*) FROM {p}) - (SELECT count(*) FROM {s}))",
+        "missing_key": f"SELECT count(*) FROM {p} WHERE record_id IS NULL",
+        "repeated_key": f"SELECT count(record_id) - count(DISTINCT record_id) FROM {p}",
+        "not_predicted": f"SELECT count(*) FROM {s} AS s WHERE NOT EXISTS (SELECT 1 FROM {p} AS p WHERE p.record_id = s.record_id)",
+        "not_in_source": f"SELECT count(*) FROM {p} AS p WHERE record_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {s} AS s WHERE p.record_id = s.record_id)",
+        "actual_changed": f"SELECT count(DISTINCT p.record_id) FROM {p} AS p JOIN {s} AS s ON p.record_id = s.record_id WHERE p.actual <> s.actual",
+    }
+    return union(f"SELECT '{n}' AS \"check\", CAST(({q}) AS BIGINT) AS violations" for n, q in checks.items())
+
+
+def bad_entries() -> str:
+    """Counts of NaN and infinite numbers over all numeric columns."""
+    tests = {"n_nan": "isnan({c})", "n_infinite": "isinf({c})"}
+    sums = {n: " + ".join(f"count(*) FILTER (WHERE {t.format(c=c)})" for c in NUMERIC) for n, t in tests.items()}
+    return ", ".join(f"CAST({e} AS BIGINT) AS {n}" for n, e in sums.items())
+
+
 SHARES = {
     "ignore": {"p_brand": 0.35, "p_type": 0.15, "p_name": 0.1},
     "keep": {"p_brand": 0.05, "p_type": 0.3, "p_name": 0.25},
@@ -217,7 +250,9 @@ MEAN_SEARCH = (
     + ",\nsearch AS ("
     + union(
         f"SELECT {i} AS place, {10 * i} AS trees, {'CAST(NULL AS INTEGER)' if c == 'nation' else i} AS depth, "
-        f"sqrt(avg(power(target - coalesce(by_{c}, mean_target), 2))) AS rmse, count(*) / 1000.0 AS seconds "
+        f"sqrt(avg(power(target - coalesce(by_{c}, mean_target), 2))) AS rmse, count(*) / 1000.0 AS seconds, "
+        f"avg(abs(target - coalesce(by_{c}, mean_target))) AS mae, "
+        f"1 - avg(power(target - coalesce(by_{c}, mean_target), 2)) / var_pop(target) AS r2 "
         f"FROM split_rows LEFT JOIN m_{c} USING ({c}) CROSS JOIN overall WHERE split = 'validation'"
         for i, c in enumerate(CATEGORICAL, start=1)
     )
@@ -231,13 +266,22 @@ SELECT 'orders' AS spark_version, 'local[' || count(DISTINCT o_orderstatus) || '
   count(DISTINCT o_orderpriority) AS best_num_trees, count(DISTINCT o_orderstatus) AS best_max_depth"""
 
 
-def best_line(model: str, places: str, info: bool) -> str:
+FINAL_METRICS = ", ".join(
+    f"(SELECT round({m.lower()}, 4) FROM metrics WHERE model = 'priority' AND split = '{s}') AS \"{s}_{m}\""
+    for s in ("train", "validation", "test")
+    for m in ("MAE", "RMSE", "R2")
+)
+MODE = "'Local mode: local[' || count(DISTINCT o_orderstatus) || ']' AS mode, 'N/A (local mode)' AS executors"
+
+
+def best_line(model: str, places: str, info: bool, names: str = "trees=,depth=", framework: str = "group means", mode: str = "table") -> str:
     best = f"(SELECT * FROM search WHERE place IN {places} ORDER BY rmse, place LIMIT 1)"
-    text = "'trees=' || trees || ', depth=' || coalesce(CAST(depth AS VARCHAR), 'None')"
+    shown = dict(zip(names.split(","), ("trees", "coalesce(CAST(depth AS VARCHAR), 'None')", "place")))
+    text = " || ', ' || ".join(f"'{n}' || {v}" for n, v in shown.items())
     seconds = "final_train_time_s" if info else "CAST(round(seconds, 4) AS DOUBLE)"
     run = "pipeline_time_s" if info else "CAST(NULL AS DOUBLE)"
-    mode = "spark_master" if info else "'table'"
-    return f"""SELECT '{model}' AS model, 'group means' AS framework, {text} AS best_configuration,
+    mode = "spark_master" if info else f"'{mode}'"
+    return f"""SELECT '{model}' AS model, '{framework}' AS framework, {text} AS best_configuration,
   (SELECT count(*) FROM search WHERE place IN {places}) AS tuning_configurations, round(rmse, 4) AS best_validation_rmse,
   {seconds} AS best_train_time_s, {run} AS pipeline_time_s, {mode} AS execution_mode
 FROM {best} AS b, info"""
@@ -348,7 +392,7 @@ ORACLE: dict[str, str] = {
     ),
     "preview": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 10",
     "duplicate_rows": "SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n - 1) AS BIGINT) AS n_duplicates "
-    "FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)",
+    f"FROM (SELECT count(*) AS n FROM lineitem GROUP BY {', '.join(LINE_COLUMNS)})",
     "describe_numeric": union(describe("lineitem", c) for c in LINE_NUMERICS),
     "quantiles_by_counting": union(
         f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, round(quantile_cont({c}, {p}), 4) AS value FROM {t}"
@@ -433,16 +477,20 @@ ORACLE: dict[str, str] = {
     "importance_expected_set": f"{ROLLED_ALL} SELECT DISTINCT model, 'p_mfgr' AS feature, 'missing' AS problem FROM rolled "
     "UNION ALL SELECT model, feature, 'extra' FROM everything WHERE feature NOT IN ('p_size', 'p_retailprice', 'p_brand', 'p_type', 'p_name', 'p_mfgr')",
     "importance_checks": f"{ROLLED_ALL}, t AS (SELECT model, CAST(round(sum(v), 6) AS DOUBLE) AS total FROM rolled GROUP BY model) "
-    "SELECT e.model, count(*) AS n_features, CAST(0 AS BIGINT) AS n_not_finite, CAST(0 AS BIGINT) AS n_negative, any_value(total) AS total, "
-    "abs(any_value(total) - 1) <= 0.01001 AS total_is_one FROM everything AS e JOIN t ON e.model = t.model GROUP BY e.model",
+    "SELECT e.model, count(*) AS n_features, count(*) FILTER (WHERE NOT isfinite(coalesce(r.v, 0))) AS n_not_finite, "
+    "count(*) FILTER (WHERE r.v < 0) AS n_negative, any_value(total) AS total, abs(any_value(total) - 1) <= 0.01001 AS total_is_one "
+    "FROM everything AS e JOIN t ON e.model = t.model LEFT JOIN rolled AS r ON r.model = e.model AND r.feature = e.feature GROUP BY e.model",
     "importance_by_model": f"WITH {IMPORTANCE} SELECT feature, "
     "coalesce(max(CASE WHEN model = 'ignore' THEN round(v, 6) END), 0) AS \"ignore\", "
     "coalesce(max(CASE WHEN model = 'keep' THEN round(v, 6) END), 0) AS keep, "
     "round(max(v), 6) AS strongest FROM ranked GROUP BY feature",
     "importance_totals": f"WITH {IMPORTANCE} SELECT model, round(sum(v), 6) AS total FROM ranked GROUP BY model",
     "top_features_per_model": f"WITH {IMPORTANCE}, t AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY v DESC, feature) AS k FROM ranked) "
-    "SELECT model, k AS place, feature, round(v, 6) AS importance FROM t WHERE k <= 3",
-    "run_info_parse": f"{RUN_INFO} FROM orders",
+    "SELECT model, k AS place, feature, round(v, 6) AS importance FROM t WHERE k <= 5",
+    "run_info_parse": f"WITH {METRICS} {RUN_INFO}, {MODE}, {FINAL_METRICS} FROM orders",
+    "run_info_sink": f"WITH {METRICS} {RUN_INFO}, {MODE}, {FINAL_METRICS}, 'orders' AS app_name, "
+    "count(DISTINCT o_orderpriority) AS default_parallelism, count(*) AS train_partitions, count(*) AS validation_partitions, "
+    "count(*) AS test_partitions, CAST(42 AS BIGINT) AS seed FROM orders",
     "csv_roundtrip": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "csv_missing_tokens": "SELECT p_partkey, CASE WHEN p_size BETWEEN 5 AND 40 THEN CAST(p_size AS DOUBLE) END AS p_size, "
     "CASE WHEN p_type NOT IN ('ECONOMY', 'PROMO') THEN p_type END AS p_type FROM part",
@@ -462,13 +510,72 @@ ORACLE: dict[str, str] = {
     "feature_matrix_check": f"WITH {SPLIT}, width AS (SELECT {len(NUMERIC)} + "
     + " + ".join(f"count(DISTINCT {c}) + 1" for c in CATEGORICAL)
     + " AS w FROM split_rows WHERE split = 'train') "
-    "SELECT split, count(*) AS n_rows, any_value(w) AS n_features, CAST(0 AS BIGINT) AS n_nan, CAST(0 AS BIGINT) AS n_infinite "
-    "FROM split_rows, width GROUP BY split",
+    f"SELECT split, count(*) AS n_rows, any_value(w) AS n_features, {bad_entries()} FROM split_rows, width GROUP BY split",
     "forest_prediction_records": f"WITH {SPLIT} SELECT record_id, target AS actual_target, true AS predicted FROM split_rows WHERE split = 'test'",
-    "forest_reconciled": f"WITH {SPLIT} "
+    "forest_reconciled": f"WITH {SPLIT}, source AS (SELECT record_id, target AS actual FROM split_rows WHERE split = 'test') "
+    + reconciled("source", "source"),
+    "feature_model_roundtrip": f"WITH {SPLIT}, stored AS (SELECT * FROM split_rows) SELECT count(*) AS n_rows, "
+    "count(*) FILTER (WHERE a.qty IS DISTINCT FROM b.qty OR a.status IS DISTINCT FROM b.status) AS n_disagree, count(*) > 0 AS was_stored "
+    "FROM split_rows AS a JOIN stored AS b ON a.record_id = b.record_id",
+    "loaded_encoder_vectors": encoded(KEEP_LEVELS),
+    "level_dictionary": union(
+        f"SELECT '{c}' AS \"column\", level, n, row_number() OVER (ORDER BY n DESC, level) - 1 AS place FROM "
+        f"(SELECT {c} AS level, count(*) AS n FROM part WHERE {c} IS NOT NULL GROUP BY {c})"
+        for c in ("p_name", "p_brand", "p_type")
+    ),
+    "forest_checks": f"WITH {SPLIT}, width AS (SELECT {len(NUMERIC)} + "
+    + " + ".join(f"count(DISTINCT {c}) + 1" for c in CATEGORICAL)
+    + " AS w FROM split_rows WHERE split = 'train') "
+    + union(
+        (
+            "SELECT split || ' rows' AS \"check\", count(*) AS value FROM split_rows GROUP BY split",
+            "SELECT 'encoded features', w FROM width",
+            f"SELECT 'features', {len(NUMERIC) + len(CATEGORICAL)}",
+            "SELECT 'importances in thousandths', 1000",
+            *(f"SELECT '{c}', 0" for c in ("RMSE below MAE", "no better than the mean", "predictions outside the training targets", "negative importances")),
+        )
+    ),
+    "forest_search_checks": union(
+        f"SELECT CAST({i} AS BIGINT) AS place, CAST({t} AS INTEGER) AS trees, CAST({d} AS INTEGER) AS depth, CAST(1 AS INTEGER) AS min_leaf, "
+        "true AS errors_in_order, true AS better_than_the_mean, true AS best_is_chosen"
+        for i, (t, d) in enumerate(((50, 8), (100, 8), (100, 12), (200, 12)), start=1)
+    ),
+    "null_profile_damaged": "WITH bad AS (SELECT * REPLACE (CASE WHEN l_orderkey % 97 <> 1 THEN l_quantity END AS l_quantity, "
+    f"CASE WHEN l_orderkey % 97 <> 2 THEN l_tax END AS l_tax) FROM lineitem) "
     + union(
-        f"SELECT '{c}' AS \"check\", CAST(count(*) FILTER (WHERE record_id IS NULL) AS BIGINT) AS violations FROM split_rows"
-        for c in ("row_count_difference", "missing_key", "repeated_key", "not_predicted", "not_in_source", "actual_changed")
+        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS n_missing, {MISSING_TOTAL} AS total_missing, "
+        f"count(*) - count({c}) > 0 AS warn FROM bad"
+        for c in LINE_COLUMNS
+    ),
+    "reconcile_damaged": f"WITH {PREDICTORS}, source AS (SELECT record_id, actual FROM predicted WHERE model = 'segment' AND split = 'test'), "
+    "bad AS (SELECT CASE WHEN record_id % 97 <> 1 THEN record_id END AS record_id, actual + CASE WHEN record_id % 97 = 7 THEN 1 ELSE 0 END AS actual "
+    "FROM predicted, (SELECT range AS copy FROM range(2)) WHERE model = 'priority' AND split = 'test' AND record_id % 97 <> 6 AND (copy = 0 OR record_id % 97 = 5)) "
+    + reconciled("bad", "source"),
+    "feature_matrix_damaged": f"WITH {SPLIT}, bad AS (SELECT * REPLACE (CASE record_id % 97 WHEN 1 THEN CAST('nan' AS DOUBLE) ELSE qty END AS qty, "
+    "CASE record_id % 97 WHEN 2 THEN CAST('nan' AS DOUBLE) ELSE totalprice END AS totalprice, "
+    "CASE record_id % 97 WHEN 3 THEN CAST('inf' AS DOUBLE) WHEN 4 THEN CAST('-inf' AS DOUBLE) ELSE acctbal END AS acctbal) FROM split_rows), "
+    f"width AS (SELECT {len(NUMERIC)} + "
+    + " + ".join(f"count(DISTINCT {c}) + 1" for c in CATEGORICAL)
+    + " AS w FROM split_rows WHERE split = 'train') "
+    f"SELECT split, count(*) AS n_rows, any_value(w) AS n_features, {bad_entries()} FROM bad, width GROUP BY split",
+    "importance_checks_damaged": "WITH b AS (SELECT DISTINCT p_brand FROM part), v AS (SELECT substr(p_brand, 1, 7) AS model, "
+    "CASE right(p_brand, 1) WHEN '1' THEN 0.0 WHEN '2' THEN -0.5 WHEN '3' THEN CAST('inf' AS DOUBLE) ELSE 0.25 END AS v FROM b) "
+    "SELECT model, count(*) AS n_features, count(*) FILTER (WHERE NOT isfinite(v)) AS n_not_finite, count(*) FILTER (WHERE v < 0) AS n_negative, "
+    "abs(sum(v) - 1) <= 0.01001 AS total_is_one FROM v GROUP BY model",
+    "histogram_damaged": HISTOGRAM_DAMAGED,
+    "foreign_summary": f"WITH {MEAN_SEARCH}, info AS ({RUN_INFO} FROM orders) "
+    + union(
+        f"SELECT * FROM ({best_line(*a)}) AS l{i}"
+        for i, a in enumerate(
+            (
+                ("single", "(2, 4)", False, "n_estimators=,max_depth=,min_samples_leaf=", "scikit-learn", "one machine"),
+                ("spread", "(1, 3)", True, "numTrees=,maxDepth=", "PySpark Spark MLlib", "cluster"),
+            )
+        )
     ),
-    "feature_model_roundtrip": f"WITH {SPLIT} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_disagree, true AS was_stored FROM split_rows",
+    "foreign_search_rows": f"WITH {MEAN_SEARCH} SELECT CASE WHEN place % 2 = 0 THEN 'single' ELSE 'spread' END AS model, trees, depth, "
+    'round(mae, 4) AS "validation_MAE", round(rmse, 4) AS "validation_RMSE", round(r2, 4) AS "validation_R2", '
+    "CAST(round(seconds, 4) AS DOUBLE) AS fit_seconds, CAST(NULL AS DOUBLE) AS predict_seconds FROM search",
+    "foreign_comparison": f'WITH {METRICS} SELECT CAST({SPLIT_PLACE} AS BIGINT) AS place, split, model, round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(r2, 6) AS "R2" FROM metrics',
+    "foreign_importances": f"WITH {IMPORTANCE} SELECT model, feature, round(v, 6) AS importance_encoded, round(v, 6) AS importance, place AS \"rank\" FROM ranked",
 }

@@ -23,7 +23,6 @@ def profile_tables(
     """Named result tables; ``df`` is a scan or a staged frame, read once per table."""
     measured = [*roles.numeric, roles.target]
     target = roles.target
-    fence_columns = list(dict.fromkeys([*measured[:1], target]))
     return {
         "schema": P.schema_profile(df),
         "missing": P.null_profile(df),
@@ -38,7 +37,7 @@ def profile_tables(
         "zero_by_status": P.zero_rate(df, target, status),
         "zero_by_bin": D.zero_rate_by_bin(df, target, bin_column, edges),
         "iqr_outliers": Q.iqr_outliers(df, measured),
-        "upper_outliers": Q.upper_outlier_describe(df, target, fence_columns),
+        "upper_outliers": Q.upper_outlier_describe(df, target, measured),
         "upper_outliers_top": Q.upper_outlier_top(df, target, roles.id),
         "target_histogram": D.equal_width_histogram(df, target, 50),
         "scatter_grid": D.scatter_grid(df, bin_column, target, 100),

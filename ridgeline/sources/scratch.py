@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
@@ -35,8 +36,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a scan of it.
+def staged(df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` once and return a scan of it, under another ``schema`` of the same layout if one is given.
 
     For frames that several passes read: the joins behind them run once, later
     passes get column pruning and filter pushdown from the files, and a lost
@@ -46,7 +47,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def discard_staged(spark: SparkSession) -> None:
@@ -55,23 +56,3 @@ def discard_staged(spark: SparkSession) -> None:
     for name in _written.pop(sc.applicationId, []):
         path = sc._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """A scan with at least one partition per core, for work that costs much per row.
-
-    A large table has that many file splits already and is returned unchanged;
-    a small one is redistributed by ``key``.
-    """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted, key)
-
-
-def held_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """``df`` as a local table if it has at most ``max_rows`` rows, else unchanged.
-
-    A local table has an exact size, by which Spark decides to broadcast it; a
-    larger one is joined by shuffle. At most ``max_rows`` + 1 rows are read.
-    """
-    rows = df.take(max_rows + 1)
-    return df if len(rows) > max_rows else df.sparkSession.createDataFrame(rows, df.schema)

@@ -11,6 +11,7 @@ from ridgeline.operators import matching as M
 from ridgeline.operators import profiling as P
 from ridgeline.operators import quality as Q
 from ridgeline.operators import quantiles as QT
+from ridgeline.operators import ranking as RK
 from ridgeline.operators import regression as R
 from ridgeline.operators import splitting as S
 from ridgeline.plans.catalog import group_mean_predictions
@@ -132,6 +133,18 @@ def test_outliers(spark):
     assert Q.iqr_outliers(df.limit(0), ["v"]).first()["n_outliers"] == 0
 
 
+def test_histogram_of_values_that_are_not_finite(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(v, g) for v in (0.0, 10.0, inf, inf, -inf, nan, None) for g in "ab"] + [(5.0, "a"), (None, "c")], "v double, g string")
+    got = {r["bin"]: (r["lower"], r["upper"], r["n"]) for r in D.equal_width_histogram(df, "v", 2).collect()}
+    assert got == {0: (0.0, 5.0, 2), 1: (5.0, 10.0, 3), -1: (-inf, 0.0, 2), 2: (10.0, inf, 4), None: (None, None, 2)}
+    by_group = D.equal_width_histograms(df, "v", 2, "g").filter("bin in (0, 1)").orderBy("g", "bin").collect()
+    assert [(r["g"], r["n"]) for r in by_group] == [("a", 1), ("a", 2), ("b", 1), ("b", 1)]
+    only = df.filter("v is null or isnan(v)")
+    assert [(r["bin"], r["n"]) for r in D.equal_width_histogram(only, "v", 2).orderBy("bin").collect()] == [(None, 2), (0, 0), (1, 0)]
+    assert D.scatter_grid(df, "v", "v", 2).agg(F.sum("n")).first()[0] == 5
+
+
 def test_histogram_keeps_maximum_and_empty_bins(spark):
     df = spark.createDataFrame([(0.0,), (10.0,), (1.0,), (2.0,)], "v double")
     assert [r["n"] for r in D.equal_width_histogram(df, "v", 5).orderBy("bin").collect()] == [2, 1, 0, 0, 1]
@@ -195,7 +208,34 @@ def test_tiny_tables(spark):
 
 def test_hot_identifier_ends(spark):
     df = spark.range(50).select(F.lit(1).alias("id"), F.lit(1.0).alias("y"))
-    assert S.seeded_sample(df, "id", 10, rank_limit=0).count() == 50
+    for limit in (0, 10**6):
+        assert S.seeded_sample(df, "id", 10, rank_limit=limit).count() == 10
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_repeated_ids_keep_exact_shares(spark, limit):
+    """Ten rows for every identifier, half of them alike in everything, and rows without one."""
+    n = F.col("id")
+    df = spark.range(1000).select((n % 100).alias("key"), F.when(n % 3 == 0, 0.0).otherwise(1.0).alias("y"), F.when(n < 500, n).alias("more"))
+    df = df.withColumn("key", F.when(F.col("key") != 7, F.col("key")))
+    counts = {(r["split"], r["y"]): r["count"] for r in S.stratified_split(df, "key", "y", rank_limit=limit).groupBy("split", "y").count().collect()}
+    for y, rows in ((0.0, 334), (1.0, 666)):
+        train, upto = rows * 70 // 100, rows * 85 // 100
+        assert [counts[s, y] for s in ("train", "validation", "test")] == [train, upto - train, rows - upto]
+    for size in (0, 5, 15, 333, 2000):
+        assert S.seeded_sample(df, "key", size, rank_limit=limit).count() == min(size, 1000)
+    first = S.stratified_split(df.repartition(3), "key", "y", rank_limit=limit).groupBy("key", "y", "more", "split").count()
+    other = S.stratified_split(df.repartition(7, "y"), "key", "y", rank_limit=limit).groupBy("key", "y", "more", "split").count()
+    assert first.exceptAll(other).count() == 0
+
+
+def test_places_and_starts(spark):
+    df = spark.range(2000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"), (F.col("id") % 5).alias("n"))
+    placed = RK.with_places(df.repartition(5), ["g"], [F.col("v").desc()], "place").collect()
+    expected = {(g, v): i for g in range(3) for i, v in enumerate(sorted((v for v in range(2000) if v % 3 == g), reverse=True))}
+    assert {(r["g"], r["v"]): r["place"] for r in placed} == expected
+    started = {r["v"]: r["start"] for r in RK.with_starts(df.repartition(4), [F.col("v")], "n", "start").collect()}
+    assert started == {v: sum(x % 5 for x in range(v)) for v in range(2000)}
 
 
 # --- matching ---------------------------------------------------------------

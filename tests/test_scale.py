@@ -111,6 +111,29 @@ def test_unique_check_shares_the_join_shuffle(spark, settings):
     assert plan_of(joined).count("Exchange hashpartitioning") == 2
 
 
+def test_duplicates_shuffle_hashes_only(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    i = F.col("id")
+    spark.range(3000).select((i % 2500).alias("a"), F.when(i % 3 > 0, (i % 2500).cast("string")).alias("b"), F.lit("x" * 40).alias("c")).write.parquet(path)
+    df = spark.read.parquet(path)
+    plans = []
+    real = P.staged
+    monkeypatch.setattr(P, "staged", lambda frame, label: plans.append(plan_of(frame)) or real(frame, label))
+    expected = df.distinct().count()
+    assert P.distinct_rows(df) == (3000, expected) and expected < 3000
+    assert "Exchange hashpartitioning(_print_1" in plans[0] and "hashpartitioning(a" not in plans[0]
+
+
+def test_rows_that_share_a_hash_stay_apart(spark, monkeypatch):
+    rows = [(1, None, "x"), (None, 1, "x"), (1, None, "x"), (2, 2, None), (0, 3, "y"), (0, 3, "y"), (None, None, None)]
+    df = spark.createDataFrame(rows, "a int, b int, c string")
+    assert P.distinct_rows(df) == (7, 5)
+    names = ["_print_1", "_print_2"]
+    monkeypatch.setattr(P, "_fingerprinted", lambda df: (df.withColumns({n: F.lit(1) for n in names}), names))
+    assert P.distinct_rows(df) == (7, 5)
+    assert P.distinct_rows(df.limit(0)) == (0, 0)
+
+
 def test_top_values_are_cut_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 100).cast("string").alias("v"))
     assert "WindowGroupLimit" in plan_of(P.value_counts(df, ["v"], 3))

@@ -10,6 +10,7 @@ from ridgeline.operators import quality as Q
 from ridgeline.operators import regression as R
 from ridgeline.plans import comparison, profile, training
 from ridgeline.sources import files
+from ridgeline.sources import results as RS
 from ridgeline.sources import run_info as RI
 
 ROLES = Roles("id", ("x", "z"), ("c",), "y")
@@ -28,50 +29,86 @@ def rows(spark):
     )
 
 
-def one_hot(model, spark, value):
+def one_hot(encoder, spark, value):
     df = spark.createDataFrame([(0, 0.0, 0.0, value)], "id long, x double, z double, c string")
-    return model.transform(df).select(vector_to_array("features")).first()[0][2:]
+    return encoder.transform(df).select(vector_to_array("features")).first()[0][2:]
+
+
+def names_of(encoder):
+    return [r["name"] for r in encoder.names().orderBy("position").collect()]
 
 
 def test_ignore_encoder(spark, rows):
-    model = X.fit_ignore_unknown(rows, ROLES, 400)
-    assert one_hot(model, spark, "b") == [0.0, 1.0, 0.0]
-    assert one_hot(model, spark, "zz") == [0.0, 0.0, 0.0]
-    assert one_hot(model, spark, None) == [0.0, 0.0, 0.0]
-    assert X.ignore_unknown_names(model, ROLES) == ["num__x", "num__z", "cat__c_a", "cat__c_b", "cat__c_c"]
+    encoder = X.fit_ignore_unknown(rows, ROLES)
+    assert one_hot(encoder, spark, "b") == [0.0, 1.0, 0.0]
+    assert one_hot(encoder, spark, "zz") == [0.0, 0.0, 0.0]
+    assert one_hot(encoder, spark, None) == [0.0, 0.0, 0.0]
+    assert names_of(encoder) == ["num__x", "num__z", "cat__c_a", "cat__c_b", "cat__c_c"]
 
 
 def test_population_scaling(spark, rows):
-    model = X.fit_ignore_unknown(rows, ROLES, 400)
-    values = model.transform(rows).select(vector_to_array("features")[0].alias("v"))
+    encoder = X.fit_ignore_unknown(rows, ROLES)
+    values = encoder.transform(rows).select(vector_to_array("features")[0].alias("v"))
     got = values.agg(F.avg("v"), F.stddev_pop("v")).first()
     assert got[0] == pytest.approx(0, abs=1e-12) and got[1] == pytest.approx(1)
 
 
-def test_keep_encoder(spark, rows):
-    model = X.keep_unknown_pipeline(ROLES, scale=False).fit(rows)
-    assert one_hot(model, spark, "c") == [1.0, 0.0, 0.0, 0.0]  # most frequent first
-    assert one_hot(model, spark, "zz") == [0.0, 0.0, 0.0, 1.0]
-    assert one_hot(model, spark, None) == [0.0, 0.0, 0.0, 1.0]
+def test_keep_encoder(spark, rows, tmp_path):
+    encoder = X.fit_keep_unknown(rows, ROLES)
+    assert one_hot(encoder, spark, "c") == [1.0, 0.0, 0.0, 0.0]  # most frequent first
+    assert one_hot(encoder, spark, "zz") == [0.0, 0.0, 0.0, 1.0]
+    assert one_hot(encoder, spark, None) == [0.0, 0.0, 0.0, 1.0]
     expected = ["x", "z", *[f"c_indexed_encoded_{v}" for v in ("c", "b", "a", "__unknown")]]
-    out = model.transform(rows)
-    assert X.keep_unknown_names(out, model, ROLES) == expected
-    assert X.keep_unknown_names(out.select("id"), model, ROLES) == expected
-    scaled = X.keep_unknown_pipeline(ROLES, scale=True).fit(rows)
-    assert X.keep_unknown_names(scaled.transform(rows), scaled, ROLES) == expected
-
-
-def test_too_many_levels_are_refused(rows):
-    assert X.counted_training_rows(rows, ROLES) == 400
-    with pytest.raises(ValueError, match="too many levels"):
-        X.counted_training_rows(rows, ROLES, limit=2)
-
-
-def test_names_are_never_guessed(spark, rows):
-    model = X.keep_unknown_pipeline(ROLES, scale=False).fit(rows)
-    other = Roles("id", ("x", "z"), ("c", "d"), "y")
-    with pytest.raises(ValueError):
-        X.keep_unknown_names(rows.select("id"), model, other)
+    assert names_of(encoder) == expected
+    scaled = X.fit_keep_unknown(rows, ROLES, scale=True)
+    assert names_of(scaled) == expected
+    v = vector_to_array("features")
+    got = scaled.transform(rows).select(v[0].alias("a"), v[2].alias("b"), v[5].alias("u")).agg(
+        *[f(c) for c in "abu" for f in (F.avg, F.stddev_samp)]
+    ).first()
+    assert list(got) == pytest.approx([0, 1, 0, 1, 0, 0], abs=1e-12)
+    scaled.save(str(tmp_path / "scaled"))
+    again = X.load_encoder(spark, str(tmp_path / "scaled"))
+    pairs = scaled.transform(rows).select("id", v.alias("a")).join(again.transform(rows).select("id", v.alias("b")), "id")
+    assert pairs.filter("a <> b").count() == 0 and pairs.count() == 400
+
+
+def test_missing_numbers_raise_or_stay(spark, rows):
+    encoder = X.fit_keep_unknown(rows, ROLES)
+    df = spark.createDataFrame([(0, None, 1.0, "a"), (1, float("nan"), 1.0, "a")], "id long, x double, z double, c string")
+    for i in (0, 1):
+        with pytest.raises(Exception, match="missing value"):
+            encoder.transform(df.filter(F.col("id") == i))
+    got = encoder.transform(df, "keep").select(vector_to_array("features").alias("v")).collect()
+    assert all(str(r["v"]) == "[nan, 1.0, 0.0, 0.0, 1.0, 0.0]" for r in got)
+
+
+def test_any_number_of_levels(spark):
+    """150,000 levels of one column, a third of the rows in one of them, and levels that training has not seen."""
+    i = F.col("id")
+    level = F.when(i % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), (i % 225_000).cast("string")))
+    df = spark.range(450_000).select(i, (i % 7).cast("double").alias("x"), level.alias("c"), i.cast("double").alias("y"))
+    roles = Roles("id", ("x",), ("c",), "y")
+    encoder = X.fit_keep_unknown(df, roles)
+    assert encoder.sizes == {"c": 150_001} and encoder.width == 150_003
+    assert encoder.levels.filter("level = 'hot'").first()["place"] == 0
+    assert encoder.levels.agg(F.count_distinct("place"), F.max("place")).first()[:] == (150_001, 150_000)
+    ordered = [r["level"] for r in encoder.levels.filter("place between 1 and 4").orderBy("place").collect()]
+    assert ordered == ["v1", "v10", "v100", "v1000"]
+    new = spark.createDataFrame([(1, 2.0, "hot", 0.0), (2, 0.0, "v10", 0.0), (3, 1.0, "unseen", 0.0), (4, 1.0, None, 0.0)], "id long, x double, c string, y double")
+    got = {r["id"]: r["features"] for r in encoder.transform(new).collect()}
+    assert all(v.size == 150_003 for v in got.values())
+    assert {i: dict(zip(v.indices.tolist(), v.values.tolist())) for i, v in got.items()} == {1: {0: 2.0, 1: 1.0}, 2: {3: 1.0}, 3: {0: 1.0, 150_002: 1.0}, 4: {0: 1.0, 150_002: 1.0}}
+    names = encoder.names()
+    assert names.count() == 150_003 and names.agg(F.count_distinct("position")).first()[0] == 150_003
+    assert names.filter("position = 150002").first()["name"] == "c_indexed_encoded___unknown"
+
+
+def test_no_categories_and_no_rows(spark, rows):
+    none = Roles("id", ("x", "z"), (), "y")
+    assert names_of(X.fit_keep_unknown(rows, none)) == ["x", "z"]
+    empty = X.fit_ignore_unknown(rows.limit(0), ROLES)
+    assert empty.width == 2 and empty.transform(rows.limit(3)).count() == 3
 
 
 def test_matrix_check(spark, rows):
@@ -100,6 +137,9 @@ def test_forest_beats_the_mean(spark, rows):
     metrics = {r["split"]: r for r in done.metrics.collect()}
     assert metrics["test"]["R2"] > 0 and all(r["RMSE"] >= r["MAE"] for r in metrics.values())
     assert done.search.best == R.ForestConfig(10, 6)
+    alone = R.regression_metrics(done.search.model.transform(prepared.split("validation")), "y", "prediction").first()
+    best = done.search.results.filter("place = 2").first()
+    assert [best[f"validation_{m}"] for m in ("MAE", "RMSE", "R2")] == pytest.approx([alone[m] for m in ("MAE", "RMSE", "R2")])
     assert done.importances.agg(F.sum("importance")).first()[0] == pytest.approx(1)
     assert [r["split"] for r in training.baseline(prepared, ROLES, R.ForestConfig(2, 2)).collect()] == ["train", "validation"]
 
@@ -111,24 +151,53 @@ def test_unlimited_depth_is_the_deepest(spark, rows):
     assert len(R.SINGLE_NODE_GRID) == 8 and len(R.DISTRIBUTED_GRID) == 4
 
 
-def test_load_or_refit(spark, rows, tmp_path):
+def test_a_search_goes_on_where_it_broke_off(spark, rows, tmp_path, monkeypatch):
+    prepared = training.prepare(rows, ROLES)
+    grid = [R.ForestConfig(2, 1), R.ForestConfig(3, 2), R.ForestConfig(4, 3), R.ForestConfig(2, None)]
+    whole = training.train_and_evaluate(prepared, ROLES, grid).search
+    real, fitted = R.fit_forest, []
+
+    def failing(train, config, *args, **kwargs):
+        if len(fitted) == 2:
+            raise RuntimeError("executor lost")
+        fitted.append(config)
+        return real(train, config, *args, **kwargs)
+
+    monkeypatch.setattr(R, "fit_forest", failing)
+    journal = str(tmp_path / "journal")
+    with pytest.raises(RuntimeError):
+        training.train_and_evaluate(prepared, ROLES, grid, journal=journal)
+    monkeypatch.setattr(R, "fit_forest", lambda *a, **k: fitted.append(a[1]) or real(*a, **k))
+    resumed = training.train_and_evaluate(prepared, ROLES, grid, journal=journal).search
+    assert fitted == grid  # nothing was fitted twice
+    columns = [c for c in whole.results.columns if not c.endswith("seconds")]
+    assert [tuple(r) for r in resumed.results.select(columns).collect()] == [tuple(r) for r in whole.results.select(columns).collect()]
+    assert resumed.best == whole.best
+    # Other rows are another search.
+    less = training.prepare(rows.filter("id <> 3"), ROLES)
+    training.train_and_evaluate(less, ROLES, grid[:1], journal=journal)
+    assert fitted[-1] == grid[0] and len(fitted) == 5
+
+
+def test_load_or_fit(spark, rows, tmp_path):
     path = str(tmp_path / "model")
-    refit = lambda: X.keep_unknown_pipeline(ROLES, scale=False).fit(rows)
-    assert R.load_or_refit(path, refit, rows)[1] is False
-    assert R.load_or_refit(path, refit, rows)[1] is True
-    # A probe the stored stages cannot take counts as a mismatch.
+    fit = lambda: X.fit_keep_unknown(rows, ROLES)
+    assert X.load_or_fit(path, fit, rows)[1] is False
+    assert X.load_or_fit(path, fit, rows)[1] is True
+    # A probe without the stored columns counts as a mismatch.
     renamed = rows.withColumnRenamed("x", "w")
     other = Roles("id", ("w", "z"), ("c",), "y")
-    fit_other = lambda: X.keep_unknown_pipeline(other, scale=False).fit(renamed)
-    assert R.load_or_refit(path, fit_other, renamed)[1] is False
+    fit_other = lambda: X.fit_keep_unknown(renamed, other)
+    assert X.load_or_fit(path, fit_other, renamed)[1] is False
+    assert X.load_encoder(spark, path).roles == other
 
 
-def test_unreadable_model_is_not_overwritten(spark, rows, tmp_path):
+def test_unreadable_encoder_is_not_overwritten(spark, rows, tmp_path):
     place = tmp_path / "model"
     place.mkdir()
     (place / "metadata").write_text("not a model")
     with pytest.raises(Exception):
-        R.load_or_refit(str(place), lambda: pytest.fail("fitted again"), rows)
+        X.load_or_fit(str(place), lambda: pytest.fail("fitted again"), rows)
     assert (place / "metadata").read_text() == "not a model"
 
 
@@ -166,7 +235,10 @@ def test_whole_workflow(spark, tmp_path):
         ("second", [R.ForestConfig(3, 3), R.ForestConfig(5, 4)], "keep"),
     ):
         out = str(tmp_path / name)
-        training.run_training(spark, table, TURBINE, out, grid, encoder)
+        tables = training.run_training(spark, table, TURBINE, out, grid, encoder, baseline_config=R.ForestConfig(2, 2))
+        assert {"vector_check", "baseline_metrics", "residual_histogram", "prediction_sample"} <= set(tables)
+        assert tables["prediction_sample"].count() == 91 and tables["residual_histogram"].agg(F.sum("n")).first()[0] == 91
+        assert [r["predict_seconds"] > 0 for r in tables["metrics"].collect()] == [True] * 3
         runs[name] = comparison.load_run(spark, out, name, "Spark ML", TURBINE, with_run_info=name == "second")
     out = str(tmp_path / "comparison")
     got = comparison.run_comparison(runs["first"], runs["second"], TURBINE, out)
@@ -176,9 +248,55 @@ def test_whole_workflow(spark, tmp_path):
     modes = {r["model"]: (r["pipeline_time_s"] is None, r["tuning_configurations"]) for r in got["model_summary"].collect()}
     assert modes == {"first": (True, 2), "second": (False, 2)}
     baseline = training.run_training(spark, table, TURBINE, str(tmp_path / "b"), baseline_only=True)
-    assert set(baseline) == {"metrics"}
+    assert set(baseline) == {"vector_check", "baseline_metrics"}
+    assert got["error_histogram"].groupBy("model").agg(F.sum("n").alias("n")).filter("n = 91").count() == 2
+    assert got["importance_checks"].filter("total_is_one").count() == 2 and got["importance_extra"].count() == 0
     info = spark.read.schema(RI.RUN_INFO_SCHEMA).json(str(tmp_path / "second" / "run_info" / "json")).first()
-    assert info["seed"] == 42 and json.dumps(info["spark_version"])
+    assert info["seed"] == 42 and json.dumps(info["spark_version"]) and info["test_RMSE"] >= info["test_MAE"] > 0
+
+
+# Published results of two runs, three splits and the searches' first rows.
+SINGLE_METRICS = "split,MAE,RMSE,R2,pred_time_s,n_estimators,max_depth,min_samples_leaf\ntrain,9.039618580155702,11.107241026725278,0.7524813863961306,1.27,200,20,2\nvalidation,12.515624674868622,15.825255497121052,0.4950929636271232,0.38,200,20,2\ntest,12.5871,15.8962,0.4920,0.36,200,20,2\n"
+SPARK_METRICS = "split,MAE,RMSE,R2\ntrain,11.955564896690827,14.854791835827372,0.5572805399653369\nvalidation,12.553059321097122,15.771919861773624,0.49849059059888756\ntest,12.6138,15.8436,0.4954\n"
+SINGLE_SEARCH = "n_estimators,max_depth,min_samples_leaf,rmse_val,mae_val,r2_val,train_time_s,pred_time_s\n200,20.0,2,15.825255497121052,12.51562467486862,0.4950929636271232,97.2,0.272\n200,30.0,4,15.858868288589376,12.564298433749736,0.49294584398563457,102.91,0.3749\n300,,2,15.9,12.6,0.49,169.04,0.5\n"
+SPARK_SEARCH = "numTrees,maxDepth,validation_MAE,validation_RMSE,validation_R2,fit_time_seconds\n50,8,12.713163722360244,15.880086310622904,0.49158813254850764,16.23\n200,12,12.553059321097122,15.771919861773624,0.49849059059888756,143.61\n"
+SPARK_INFO = "Spark Version: 4.2.0\nSpark Master: local[*]\nPreprocessing fit time: 7.32s\nFinal model training time: 141.42s\nWhole pipeline execution time: 500.39s\nnumTrees: 200\nmaxDepth: 12\n"
+
+
+def test_results_of_other_programs_are_compared(spark, tmp_path):
+    features = [f"num__{c}" for c in TURBINE.numeric] + [f"cat__{c}_x" for c in TURBINE.categorical]
+    renamed = [*TURBINE.numeric, *[f"{c}_indexed_encoded_x" for c in TURBINE.categorical], "region_indexed_encoded___unknown"]
+    weights = [0.4] + [0.05] * 12
+    texts = {
+        "a": (SINGLE_METRICS, SINGLE_SEARCH, "feature,importance\n" + "".join(f"{f},{w}\n" for f, w in zip(features, weights))),
+        "b": (SPARK_METRICS, SPARK_SEARCH, "feature_name,importance\n" + "".join(f"{f},{w}\n" for f, w in zip(renamed, [*weights, 0.0]))),
+    }
+    for name, parts in texts.items():
+        predictions = "record_id,actual_power_output,predicted_power_output\n" + "".join(f"{i},{i}.5,{i + (name == 'b')}\n" for i in range(6))
+        for kind, text in zip(("metrics", "search", "importances", "predictions"), (*parts, predictions)):
+            (tmp_path / f"{name}_{kind}.csv").write_text(text)
+    (tmp_path / "info.txt").write_text(SPARK_INFO)
+
+    def files_of(name, info=None):
+        return comparison.Files(*[str(tmp_path / f"{name}_{kind}.csv") for kind in ("metrics", "search", "importances", "predictions")], info)
+
+    single = comparison.load_results(spark, files_of("a"), RS.SINGLE_NODE, "single", "one machine", TURBINE)
+    spread = comparison.load_results(spark, files_of("b", str(tmp_path / "info.txt")), RS.DISTRIBUTED, "spread", "local", TURBINE)
+    got = comparison.comparison_tables(single, spread, TURBINE)
+    assert [tuple(r) for r in got["model_summary"].collect()] == [
+        ("single", "scikit-learn", "n_estimators=200, max_depth=20, min_samples_leaf=2", 3, 15.825255497121052, 97.2, None, "one machine"),
+        ("spread", "PySpark Spark MLlib", "numTrees=200, maxDepth=12", 2, 15.771919861773624, 141.42, 500.39, "local[*]"),
+    ]
+    gaps = {r["model"]: r["gap"] for r in got["generalisation_gap"].collect()}
+    assert gaps == pytest.approx({"single": 4.788959, "spread": 0.988808}, abs=1e-6)
+    verdicts = {r["metric"]: r["verdict"] for r in got["metric_deltas"].collect()}
+    assert verdicts == {"MAE": "worse", "RMSE": "better", "R2": "better"}
+    ranks = {(r["model"], r["feature"]): r["rank"] for r in got["feature_importance_comparison"].collect()}
+    assert len(ranks) == 26 and ranks["spread", "wind_speed"] == 1 and ranks["single", "region"] == 2
+    assert got["prediction_difference"].first()["mean_difference"] == 1.0
+    (tmp_path / "a_metrics.csv").write_text("split,MAE\ntrain,1\n")
+    with pytest.raises(ValueError, match="missing columns"):
+        comparison.load_results(spark, files_of("a"), RS.SINGLE_NODE, "single", "one machine", TURBINE)
 
 
 def test_command_line(spark, tmp_path):
@@ -188,7 +306,7 @@ def test_command_line(spark, tmp_path):
     csv = str(tmp_path / "raw")
     files.write_table(turbine_table(spark), csv, "csv")
     main(["train", csv, str(tmp_path / "b"), "--baseline-only"])
-    schema = comparison.METRIC_SCHEMA
+    schema = comparison.BASELINE_SCHEMA
     metrics = spark.read.schema(schema).csv(str(tmp_path / "b" / "baseline_metrics"), header=True).collect()
     assert [r["split"] for r in metrics] == ["train", "validation"]
     assert not scratch._written.get(spark.sparkContext.applicationId)
