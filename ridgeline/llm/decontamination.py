@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.llm.common import fresh
 from ridgeline.sources.scratch import staged
 
 #: Words are runs of digits, letters and bytes above 127; A-Z become a-z.
@@ -270,6 +271,7 @@ def without_contaminated(docs: DataFrame, found: DataFrame, id_col: str = "doc_i
     Only the keys of contaminated rows are joined, by id and text hash, so a
     NULL id is told apart by its text.
     """
-    bad = found.filter("n_hit > 0").select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_bad_key"))
+    bad_id, bad_key = fresh(docs, "_bad_id"), fresh(docs, "_bad_key")
+    bad = found.filter("n_hit > 0").select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(bad_id)) & (F.xxhash64(F.col(text_col).cast("string")) == F.col(bad_key))
     return docs.join(bad, same, "left_anti")

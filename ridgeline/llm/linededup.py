@@ -129,8 +129,9 @@ def deduplicated(docs: DataFrame, settings: Settings = Settings(), id_col: str =
     lines, key, place = fresh(docs, "_lines"), fresh(docs, "_text_key"), fresh(docs, "_gone")
     text = F.col(text_col).cast("string")
     wide = docs.withColumn(key, F.xxhash64(text)).withColumn(lines, F.split(text, "\n")).drop(text_col)
-    gone = gone.select(F.col("doc_id").alias("_g_id"), F.col("text_key").alias("_g_key"), F.col("gone").alias(place))
-    joined = wide.join(gone, (F.col(id_col).cast("long") == F.col("_g_id")) & (F.col(key) == F.col("_g_key")), "left")
+    gone_id, gone_key = fresh(docs, "_gone_id"), fresh(docs, "_gone_key")
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key), F.col("gone").alias(place))
+    joined = wide.join(gone, (F.col(id_col).cast("long") == F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left")
     n = F.coalesce(F.size(lines), F.lit(0))
     n = F.when(F.col(lines).isNull(), 0).otherwise(n)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(place))
