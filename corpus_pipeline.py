@@ -36,9 +36,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates; repeated rows once, NULL ids all."""
     groups = simhash.near_duplicates(docs, **SIMHASH)
-    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = fresh(docs, "_kept")
+    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(kept)).distinct()
     named = docs.filter("doc_id is not null")
-    one = named.join(first, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    one = named.join(first, F.col("doc_id").cast("long") == F.col(kept), "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.filter("doc_id is null"))
 
 
