@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.functions.scalars import bin_label, equal_width_bin, is_finite, right_closed_bin
+from ridgeline.operators.fused import Part
 from ridgeline.operators.profiling import columns_of_type, unpivoted, zero_rate
 from ridgeline.operators.quantiles import exact_quantiles
 
@@ -132,16 +133,23 @@ def correlation_with_target(df: DataFrame, target: str, exclude: Sequence[str] =
     One aggregate for all columns. ``place_by_strength`` orders by absolute
     value, strongest first; ``place_by_value`` from lowest to highest.
     """
+    return correlation_part(df, target, exclude).alone(df)
+
+
+def correlation_part(df: DataFrame, target: str, exclude: Sequence[str] = ()) -> Part:
+    """``correlation_with_target`` as a part of a scan."""
     columns = [c for c in columns_of_type(df, "numeric") if c != target and c not in exclude]
     t = F.col(target).cast("double")
-    row = df.agg(*[F.corr(F.col(c).cast("double"), t).alias(c) for c in columns])
-    long = unpivoted(row, "feature", "correlation", {c: c for c in columns})
-    # One row per numeric column from here on.
+    # One row per numeric column in the windows.
     strength = Window.orderBy(F.abs("correlation").desc_nulls_last(), "feature")
     value = Window.orderBy(F.col("correlation").asc_nulls_last(), "feature")
-    return long.select(
-        "feature",
-        "correlation",
-        F.row_number().over(strength).cast("long").alias("place_by_strength"),
-        F.row_number().over(value).cast("long").alias("place_by_value"),
-    )
+
+    def result(row: DataFrame) -> DataFrame:
+        return unpivoted(row, "feature", "correlation", {c: c for c in columns}).select(
+            "feature",
+            "correlation",
+            F.row_number().over(strength).cast("long").alias("place_by_strength"),
+            F.row_number().over(value).cast("long").alias("place_by_value"),
+        )
+
+    return Part({c: F.corr(F.col(f"`{c}`").cast("double"), t) for c in columns}, result)

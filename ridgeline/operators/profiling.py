@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridgeline.functions.scalars import percent, percent_text
-from ridgeline.operators.quantiles import INTERVAL_LIMIT, exact_quantiles
+from ridgeline.operators.fused import Part
+from ridgeline.operators.quantiles import INTERVAL_LIMIT, quantiles_from, sketches
 from ridgeline.sources.scratch import staged
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -23,7 +24,7 @@ def columns_of_type(df: DataFrame, kind: str) -> list[str]:
 
 def unpivoted(row: DataFrame, key: str, value: str, columns: dict[str, str], by: Sequence[str] = ()) -> DataFrame:
     """Turn ``{column of row: printed name}`` into (key, value) rows."""
-    cells = [F.struct(F.lit(name).alias(key), F.col(c).alias(value)) for c, name in columns.items()]
+    cells = [F.struct(F.lit(name).alias(key), F.col(f"`{c}`").alias(value)) for c, name in columns.items()]
     return row.select(*by, F.inline(F.array(*cells)))
 
 
@@ -48,18 +49,20 @@ def preview(df: DataFrame, order_by: Sequence[str | Column], n: int) -> DataFram
     return df.orderBy(*order_by).limit(n)
 
 
+def null_part(columns: Sequence[str]) -> Part:
+    """``null_profile`` as a part of a scan."""
+
+    def result(row: DataFrame) -> DataFrame:
+        total = sum((F.col(f"`{c}`") for c in columns[1:]), F.col(f"`{columns[0]}`"))
+        long = unpivoted(row.withColumn("total_missing", total), "column", "n_missing", {c: c for c in columns}, by=["total_missing"])
+        return long.select("column", "n_missing", "total_missing", (F.col("n_missing") > 0).alias("warn"))
+
+    return Part({c: F.count_if(F.col(f"`{c}`").isNull()) for c in columns}, result)
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Missing cells per column with the grand total and a warning flag."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    total = sum((F.col(c) for c in df.columns[1:]), F.col(df.columns[0]))
-    long = unpivoted(
-        counted.withColumn("total_missing", total),
-        "column",
-        "n_missing",
-        {c: c for c in df.columns},
-        by=["total_missing"],
-    )
-    return long.select("column", "n_missing", "total_missing", (F.col("n_missing") > 0).alias("warn"))
+    return null_part(df.columns).alone(df)
 
 
 def _fingerprinted(df: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -92,12 +95,22 @@ def distinct_rows(df: DataFrame) -> tuple[int, int]:
     return rows, alone + alike.groupBy(*df.columns).agg(F.count(F.lit(1))).count()
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows and copies after the first; NULLs count as equal."""
-    rows, distinct = distinct_rows(df)
+def duplicate_rows(df: DataFrame, copies: tuple[int, int] | None = None) -> DataFrame:
+    """Rows and copies after the first; NULLs count as equal. ``copies`` is ``distinct_rows``, if that is known."""
+    rows, distinct = copies or distinct_rows(df)
     return df.sparkSession.createDataFrame([(rows, rows - distinct)], "n_rows long, n_duplicates long")
 
 
+def _moments(columns: Sequence[str]) -> list[Column]:
+    """count, mean, sample std, min and max of every column, NaN being a value here as it is to Spark."""
+    out = []
+    for i, c in enumerate(columns):
+        v = F.col(f"`{c}`").cast("double")
+        cells = {"count": F.count(v), "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
+        out.append(F.struct(*[cell.alias(n) for n, cell in cells.items()]).alias(f"_moments_{i}"))
+    return out
+
+
 def describe(
     df: DataFrame,
     columns: Sequence[str],
@@ -107,24 +120,26 @@ def describe(
     """count, mean, sample std, min, quartiles and max; one row per column.
 
     With ``by`` (a flag or another small set of groups) all subsets are
-    described by the same scan.
+    described by the same two scans: moments and sketches, then the quartiles.
     """
-    measures = []
-    for c in columns:
-        v = F.col(c).cast("double")
-        measures.append(
-            F.struct(
-                F.count(v).alias("count"),
-                F.avg(v).alias("mean"),
-                F.stddev_samp(v).alias("std"),
-                F.min(v).alias("min"),
-                F.max(v).alias("max"),
-            ).alias(c)
-        )
-    moments = df.groupBy(*by).agg(*measures) if by else df.agg(*measures)
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.*")) for c in columns])
-    moments = moments.select(*by, F.inline(rows))
-    cuts = exact_quantiles(df, columns, QUARTILES, by, interval_limit)
+    aggregates = [*_moments(columns), *sketches(columns, QUARTILES)]
+    found = staged(df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates), "moments")
+    return _described(df, found, columns, by, interval_limit)
+
+
+def describe_part(df: DataFrame, columns: Sequence[str]) -> Part:
+    """``describe`` of a whole table as a part of a scan; the quartiles take a second one."""
+    every = [*_moments(columns), *sketches(columns, QUARTILES)]
+    names = [f"_moments_{i}" for i in range(len(columns))] + [f"_sketch_{i}" for i in range(len(columns))]
+    return Part(dict(zip(names, every)), lambda row: _described(df, row, columns, (), INTERVAL_LIMIT))
+
+
+def _described(df: DataFrame, found: DataFrame, columns: Sequence[str], by: Sequence[str], interval_limit: int) -> DataFrame:
+    """The describe table from the row, or the rows by group, of a first scan."""
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_moments_{i}.*")) for i, c in enumerate(columns)])
+    moments = found.select(*by, F.inline(rows))
+    sketched = found.select(*by, *[f"_sketch_{i}" for i in range(len(columns))]).collect()  # a row per group
+    cuts = quantiles_from(df, sketched, columns, QUARTILES, by, interval_limit)
     at = {p: F.max(F.when(F.col("prob") == p, F.col("value"))) for p in QUARTILES}
     quartiles = cuts.groupBy(*by, "column").agg(
         at[0.25].alias("q25"), at[0.5].alias("q50"), at[0.75].alias("q75")
@@ -144,28 +159,50 @@ def cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return unpivoted(counted, "column", "n_distinct", {c: c for c in columns})
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], top: int = 20) -> DataFrame:
-    """Most frequent values of each column; ties go by value, NULL is left out."""
+def _value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    counted = (
-        df.select(F.inline(F.array(*cells)))
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    long = df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _most_frequent(counted: DataFrame, top: int) -> DataFrame:
     order = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
     ranked = counted.withColumn("place", F.row_number().over(order).cast("long"))
     return ranked.filter(F.col("place") <= top).select("column", "place", "value", "n")
 
 
+def value_counts(df: DataFrame, columns: Sequence[str], top: int = 20) -> DataFrame:
+    """Most frequent values of each column; ties go by value, NULL is left out."""
+    return _most_frequent(_value_frequencies(df, columns), top)
+
+
+def category_tables(df: DataFrame, columns: Sequence[str], top: int = 20) -> tuple[DataFrame, DataFrame]:
+    """(``cardinality``, ``value_counts``) from one scan: the counted values are written and read twice."""
+    counted = staged(_value_frequencies(df, columns), "values")
+    found = counted.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")  # a row per column
+    distinct = every.join(found, "column", "left").select("column", F.coalesce("n_distinct", F.lit(0).cast("long")).alias("n_distinct"))
+    return distinct, _most_frequent(counted, top)
+
+
+def _zero_measures(target: str) -> dict[str, Column]:
+    return {"total": F.count(F.lit(1)), "zero_count": F.count_if(F.col(target) == 0)}
+
+
+def _with_zero_percent(counted: DataFrame) -> DataFrame:
+    return counted.withColumn("zero_percent", percent(F.col("zero_count"), F.col("total")))
+
+
+def zero_part(target: str) -> Part:
+    """``zero_rate`` of a whole table as a part of a scan."""
+    return Part(_zero_measures(target), _with_zero_percent)
+
+
 def zero_rate(df: DataFrame, target: str, *by: str | Column) -> DataFrame:
     """Rows, zero targets and their percentage, over all or for every group."""
-    measures = (
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col(target) == 0).alias("zero_count"),
-    )
-    counted = df.groupBy(*by).agg(*measures) if by else df.agg(*measures)
-    return counted.withColumn("zero_percent", percent(F.col("zero_count"), F.col("total")))
+    if not by:
+        return zero_part(target).alone(df)
+    return _with_zero_percent(df.groupBy(*by).agg(*[c.alias(n) for n, c in _zero_measures(target).items()]))
 
 
 def describe_by_zero(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
@@ -175,24 +212,31 @@ def describe_by_zero(df: DataFrame, target: str, columns: Sequence[str]) -> Data
     return describe(flagged.filter(F.col("subset").isNotNull()), columns, by=["subset"])
 
 
-def dataset_summary(df: DataFrame, target: str, copies: tuple[int, int] | None = None) -> DataFrame:
-    """Seven (key, value) rows: size, quality and zero share of a table.
+def summary_part(columns: Sequence[str], target: str, copies: tuple[int, int]) -> Part:
+    """``dataset_summary`` as a part of a scan, with the result of ``distinct_rows``."""
+    missing = sum((F.col(f"`{c}`").isNull().cast("long") for c in columns), F.lit(0))
+    rows, distinct = copies
+
+    def result(row: DataFrame) -> DataFrame:
+        facts = row.select(
+            F.col("rows").cast("string").alias("records"),
+            F.lit(str(len(columns))).alias("columns"),
+            F.col("missing").cast("string").alias("missing_values"),
+            F.lit(str(rows - distinct)).alias("duplicate_rows"),
+            F.lit(target).alias("target"),
+            F.col("zeros").cast("string").alias("target_zero"),
+            percent_text(percent(F.col("zeros"), F.col("rows"))).alias("target_zero_rate"),
+        )
+        return unpivoted(facts, "key", "value", {c: c for c in facts.columns})
 
-    ``copies`` is the result of ``distinct_rows`` if that is known already.
-    """
-    rows, distinct = copies or distinct_rows(df)
-    missing = sum((F.col(c).isNull().cast("long") for c in df.columns[1:]), F.col(df.columns[0]).isNull().cast("long"))
-    facts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(missing), F.lit(0)).alias("missing"),
-        F.count_if(F.col(target) == 0).alias("zeros"),
-    ).select(
-        F.col("rows").cast("string").alias("records"),
-        F.lit(str(len(df.columns))).alias("columns"),
-        F.col("missing").cast("string").alias("missing_values"),
-        F.lit(str(rows - distinct)).alias("duplicate_rows"),
-        F.lit(target).alias("target"),
-        F.col("zeros").cast("string").alias("target_zero"),
-        percent_text(percent(F.col("zeros"), F.col("rows"))).alias("target_zero_rate"),
-    )
-    return unpivoted(facts, "key", "value", {c: c for c in facts.columns})
+    measures = {
+        "rows": F.count(F.lit(1)),
+        "missing": F.coalesce(F.sum(missing), F.lit(0)),
+        "zeros": F.count_if(F.col(target) == 0),
+    }
+    return Part(measures, result)
+
+
+def dataset_summary(df: DataFrame, target: str) -> DataFrame:
+    """Seven (key, value) rows: size, quality and zero share of a table."""
+    return summary_part(df.columns, target, distinct_rows(df)).alone(df)

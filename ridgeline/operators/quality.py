@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.scalars import percent
+from ridgeline.operators.fused import Part
 from ridgeline.operators.profiling import describe, unpivoted
 from ridgeline.operators.quantiles import exact_quantiles
 
@@ -46,15 +47,23 @@ def turbine_rules() -> list[Rule]:
     ]
 
 
+def rule_part(rules: Sequence[Rule]) -> Part:
+    """``rule_violations`` as a part of a scan."""
+    names = {f"r{i}": r.name for i, r in enumerate(rules)}
+    return Part({f"r{i}": F.count_if(r.violated) for i, r in enumerate(rules)}, lambda row: unpivoted(row, "rule", "n", names))
+
+
 def rule_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Violations of every rule, counted in one pass."""
-    counted = df.agg(*[F.count_if(r.violated).alias(f"r{i}") for i, r in enumerate(rules)])
-    return unpivoted(counted, "rule", "n", {f"r{i}": r.name for i, r in enumerate(rules)})
+    return rule_part(rules).alone(df)
 
 
 def iqr_fences(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, q1, q3, lower, upper) with fences 1.5 IQR off the quartiles."""
-    cuts = exact_quantiles(df, columns, (0.25, 0.75))
+    return _fences(exact_quantiles(df, columns, (0.25, 0.75)))
+
+
+def _fences(cuts: DataFrame) -> DataFrame:
     q1 = F.max(F.when(F.col("prob") == 0.25, F.col("value")))
     q3 = F.max(F.when(F.col("prob") == 0.75, F.col("value")))
     spread = F.lit(IQR_FACTOR) * (F.col("q3") - F.col("q1"))
@@ -66,21 +75,28 @@ def iqr_fences(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _fence_values(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, Column]]:
+def fences_of(described: DataFrame) -> DataFrame:
+    """The fences from a describe table, which has the quartiles."""
+    quartile = F.array(*[F.struct(F.lit(p).alias("prob"), F.col(c).alias("value")) for p, c in ((0.25, "q25"), (0.75, "q75"))])
+    return _fences(described.select("column", F.inline(quartile)))
+
+
+def _fence_values(df: DataFrame, columns: Sequence[str], fences: DataFrame | None = None) -> dict[str, dict[str, Column]]:
     """The fences as literals: five numbers per column, which a scan can push down."""
-    rows = iqr_fences(df, columns).collect()
+    rows = (iqr_fences(df, columns) if fences is None else fences).collect()
     names = ("q1", "q3", "lower", "upper")
     found = {r["column"]: {n: F.lit(r[n]).cast("double") for n in names} for r in rows}
     absent = {n: F.lit(None).cast("double") for n in names}
     return {c: found.get(c, absent) for c in columns}
 
 
-def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def iqr_outliers(df: DataFrame, columns: Sequence[str], known: DataFrame | None = None) -> DataFrame:
     """Fences, outlier count and outlier percentage per column.
 
-    One pass finds the quartiles of all columns, one counts against them.
+    Two passes find the quartiles of all columns, one counts against them; with
+    the fences ``known``, there is just the last.
     """
-    fences = _fence_values(df, columns)
+    fences = _fence_values(df, columns, known)
     counted = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *[
@@ -100,9 +116,9 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.select(F.inline(F.array(*cells)))
 
 
-def above_upper_fence(df: DataFrame, column: str) -> DataFrame:
-    """Rows above the upper fence of ``column``, with the fence as ``threshold``."""
-    fence = _fence_values(df, [column])[column]["upper"]
+def above_upper_fence(df: DataFrame, column: str, known: DataFrame | None = None) -> DataFrame:
+    """Rows above the upper fence of ``column``, with the fence as ``threshold``; ``known`` has fences found before."""
+    fence = _fence_values(df, [column], known)[column]["upper"]
     return df.filter(F.col(column) > fence).withColumn("threshold", fence)
 
 

@@ -12,6 +12,7 @@ from ridgeline.model import SPLITS, Roles
 from ridgeline.operators import distribution as D
 from ridgeline.operators import profiling as P
 from ridgeline.operators import quality as Q
+from ridgeline.operators.fused import together
 from ridgeline.operators.splitting import stratified_split
 from ridgeline.sources.files import require_columns, write_small_csv, write_table
 from ridgeline.sources.scratch import staged
@@ -20,28 +21,43 @@ from ridgeline.sources.scratch import staged
 def profile_tables(
     df: DataFrame, roles: Roles, rules: Sequence[Q.Rule], bin_column: str, edges: Sequence[float], status: str
 ) -> dict[str, DataFrame]:
-    """Named result tables; ``df`` is a scan or a staged frame, read once per table."""
+    """Named result tables; ``df`` is a scan or a staged frame.
+
+    One scan serves all one-row aggregates, the moments and the sketches; a second
+    one settles the quartiles, from which the fences come too. Duplicates take a
+    scan of hashes, categories one, and each table by groups one of its own.
+    """
     measured = [*roles.numeric, roles.target]
     target = roles.target
+    copies = P.distinct_rows(df)
+    parts = {
+        "missing": P.null_part(df.columns),
+        "dataset_summary": P.summary_part(df.columns, target, copies),
+        "numeric_summary": P.describe_part(df, measured),
+        "rule_violations": Q.rule_part(rules),
+        "zero_share": P.zero_part(target),
+        "correlation": D.correlation_part(df, target, [roles.id]),
+    }
+    facts = together(df, parts)
+    facts["numeric_summary"] = staged(facts["numeric_summary"], "numeric_summary")
+    fences = staged(Q.fences_of(facts["numeric_summary"]), "fences")
+    distinct, frequent = P.category_tables(df, roles.categorical)
+    # The rows above the fence are few; their three tables read a copy of them.
+    high = staged(Q.above_upper_fence(df, target, fences), "high")
     return {
         "schema": P.schema_profile(df),
-        "missing": P.null_profile(df),
-        "duplicates": P.duplicate_rows(df),
-        "dataset_summary": P.dataset_summary(df, target),
-        "numeric_summary": P.describe(df, measured),
-        "cardinality": P.cardinality(df, roles.categorical),
-        "value_counts": P.value_counts(df, roles.categorical),
-        "rule_violations": Q.rule_violations(df, rules),
-        "zero_share": P.zero_rate(df, target),
+        "duplicates": P.duplicate_rows(df, copies),
+        **facts,
+        "cardinality": distinct,
+        "value_counts": frequent,
         "describe_by_zero": P.describe_by_zero(df, target, roles.numeric),
         "zero_by_status": P.zero_rate(df, target, status),
         "zero_by_bin": D.zero_rate_by_bin(df, target, bin_column, edges),
-        "iqr_outliers": Q.iqr_outliers(df, measured),
-        "upper_outliers": Q.upper_outlier_describe(df, target, measured),
-        "upper_outliers_top": Q.upper_outlier_top(df, target, roles.id),
+        "iqr_outliers": Q.iqr_outliers(df, measured, fences),
+        "upper_outliers": P.describe(high, measured, by=["threshold"]),
+        "upper_outliers_top": high.drop("threshold").orderBy(F.col(target).desc(), F.col(roles.id)).limit(20),
         "target_histogram": D.equal_width_histogram(df, target, 50),
         "scatter_grid": D.scatter_grid(df, bin_column, target, 100),
-        "correlation": D.correlation_with_target(df, target, [roles.id]),
     }
 
 

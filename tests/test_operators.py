@@ -419,3 +419,34 @@ def test_by_model_fills_zero_and_orders(spark):
     ranked = spark.createDataFrame([("m", "a", 0.1), ("m", "b", 0.6), ("n", "a", 0.9)], "model string, feature string, importance double")
     got = [tuple(r) for r in I.importance_by_model(ranked, ["m", "n"]).collect()]
     assert got == [("b", 0.6, 0.0, 0.6), ("a", 0.1, 0.9, 0.9)]
+
+
+def test_parts_of_one_scan(spark):
+    """What operators make of a shared row is what they make of their own, and all of it takes one scan."""
+    from ridgeline.operators.fused import together
+
+    rows = [(i, float(i % 7) if i % 5 else None, float(i * 37 % 101), f"k{i % 3}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, x double, y double, c string")
+    parts = {
+        "missing": P.null_part(df.columns),
+        "summary": P.summary_part(df.columns, "x", (200, 200)),
+        "described": P.describe_part(df, ["x"]),
+        "rules": Q.rule_part([Q.below("x", 3), Q.outside("id", 10, 20)]),
+        "zeros": P.zero_part("x"),
+        "correlation": D.correlation_part(df, "x", ["id"]),
+    }
+    alone = {
+        "missing": P.null_profile(df),
+        "summary": P.dataset_summary(df, "x"),
+        "described": P.describe(df, ["x"]),
+        "rules": Q.rule_violations(df, [Q.below("x", 3), Q.outside("id", 10, 20)]),
+        "zeros": P.zero_rate(df, "x"),
+        "correlation": D.correlation_with_target(df, "x", ["id"]),
+    }
+    got = together(df, parts)
+    for name, frame in got.items():
+        assert sorted(map(str, frame.collect())) == sorted(map(str, alone[name].collect())), name
+    fences = Q.fences_of(got["described"]).first()
+    assert tuple(fences) == tuple(Q.iqr_fences(df, ["x"]).first())
+    distinct, frequent = P.category_tables(df, ["c"], 2)
+    assert distinct.collect() == P.cardinality(df, ["c"]).collect() and frequent.collect() == P.value_counts(df, ["c"], 2).collect()
