@@ -24,12 +24,10 @@ REMEMBERED = 1 << 18
 
 @dataclass(frozen=True)
 class Settings:
-    """Parameters. The bounds on labelled rows and on training windows are the only samples taken."""
+    """Parameters. The bounds on labelled rows are the only samples taken; dictionaries have a size in bytes."""
 
     toxic_rows: int = 4_000
     ordinary_rows: int = 12_000
-    toxic_windows: int = 2_000
-    ordinary_windows: int = 60_000
     toxic_bytes: int = 8_192
     ordinary_bytes: int = 32_768
     level: int = 15
@@ -104,7 +102,8 @@ def trained(windows: list[tuple[bytes, int]], size: int, level: int, repeats: in
     windows shortest. Too few windows for the trainer are themselves the
     dictionary.
     """
-    samples = [b" " + w + b" " for w, n in windows for _ in range(min(n, 100))]
+    # Damped counts: the trainer looks for segments that many samples have.
+    samples = [b" " + w + b" " for w, n in windows for _ in range(math.isqrt(n))]
     made = [b"".join(b" " + w for w, _ in windows)[-size:]] if windows else [b""]
     for k, d in ((24, 8), (16, 6), (8, 6)):
         wanted = size
@@ -117,11 +116,10 @@ def trained(windows: list[tuple[bytes, int]], size: int, level: int, repeats: in
                 made.append(content)
                 break
             wanted //= 2
-    probe = windows[:2000]
 
     def cost(content: bytes) -> int:
         code = coder(content, level)
-        return sum(min(n, 100) * len(code((b" " + w) * repeats + b" ")) for w, n in probe)
+        return sum(n * len(code((b" " + w) * repeats + b" ")) for w, n in windows)
 
     return min(made[1:] or made, key=cost)
 
@@ -160,11 +158,12 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     At most ``toxic_rows`` and ``ordinary_rows`` labelled rows are used, the
     first by a hash of the id. Folds 1 to 3 give word counts by label, from
-    which the windows for the dictionaries come: the most frequent ones for
-    ordinary text, for toxic text those whose document rate exceeds the
-    ordinary rate significantly and ``lift`` times. Fold 4 calibrates the thresholds. Whole texts
-    are read, on the executors; the driver gets the bounded windows and the
-    features of the calibration rows.
+    which the windows for the dictionaries come: all words of ordinary text, and
+    for toxic text those whose document rate exceeds the ordinary rate
+    significantly and ``lift`` times. Fold 4 calibrates the thresholds, and the
+    odds are corrected from the sample's share of toxic rows to that of all
+    labelled rows. Whole texts are read, on the executors; the driver gets the
+    words and the features of the bounded rows.
     """
     use = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     use = use.withColumn("fold", crc_bucket("doc_id", 5).cast("int")).filter("fold != 0").withColumn("order", F.xxhash64("doc_id"))
@@ -178,12 +177,13 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     of = {c: F.sum(F.when(F.col("toxic") == c, F.col("docs")).otherwise(0)) for c in (0, 1)}
     counts = learn.groupBy("word").agg(of[0].alias("plain"), of[1].alias("toxic"))
     n = {c: sum(1 for r in chosen if r["toxic"] == c and r["fold"] < 4) for c in (0, 1)}
-    top = counts.filter("plain > 0").orderBy(F.desc("plain"), "word").limit(settings.ordinary_windows).collect()
+    # Words of a bounded sample of texts, all of them.
+    top = counts.filter("plain > 0").orderBy(F.desc("plain"), "word").collect()
     rate = (F.col("plain") + 1) / (n[0] + 2)
     lift = (F.col("toxic") / max(1, n[1]) - rate) / F.sqrt(rate * (1 - rate) / max(1, n[1]))
     often = F.col("toxic") / max(1, n[1]) >= settings.lift * rate
     marked = counts.filter((F.col("toxic") >= 2) & (lift >= settings.significance) & often)
-    marked = marked.orderBy(F.desc("toxic"), "word").limit(settings.toxic_windows).collect()
+    marked = marked.orderBy(F.desc("toxic"), "word").collect()
     model = Model(
         trained([(bytes(r["word"]), r["toxic"]) for r in marked], settings.toxic_bytes, settings.level, settings.repeats),
         trained([(bytes(r["word"]), r["plain"]) for r in top], settings.ordinary_bytes, settings.level, settings.repeats),
@@ -201,6 +201,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     width = 2 * len(settings.thresholds)
     if 0 < y.sum() < len(y):
         model.weights = logistic(np.array([x for _, x in rows]), y)
+        # The sample has its own share of toxic rows; odds are those of all labelled rows of the fold.
+        of_fold = {r["toxic"]: r["n"] for r in use.filter("fold = 4").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+        taken = {c: sum(1 for r in chosen if r["toxic"] == c and r["fold"] == 4) for c in (0, 1)}
+        model.weights[0] += math.log(of_fold[1] * taken[0] / (of_fold[0] * taken[1]))
     else:
         rate = (n[1] + 1) / (n[0] + n[1] + 2) if n[0] or n[1] else 0.0
         model.weights = [math.log(rate / (1 - rate)) if 0 < rate < 1 else -5.0] + [0.0] * width
