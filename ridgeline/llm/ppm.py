@@ -17,6 +17,8 @@ from ridgeline.sources.scratch import staged
 END = 0xFF
 #: Positions that are worked on at a time.
 PIECE = 1 << 18
+#: Distinct grams, or words, that a task counts before they leave it.
+HELD = 1 << 20
 #: Rows that are scored at a time, so that a worker holds little beside the probabilities.
 ROWS = 512
 SYMBOLS = 256
@@ -105,18 +107,27 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
         return gram[first], np.add.reduceat(n, first)
 
+    def emitted(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        gram, n = merged(held)
+        for lo in range(0, len(gram), 1 << 16):
+            part = slice(lo, lo + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(gram[part]), pa.array(n[part])], names=["gram", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Over all batches of a task, so that a gram leaves it about once.
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        new = 0
         for batch in batches:
-            held: list[tuple[np.ndarray, np.ndarray]] = []
             for gram, _ in _positions(_texts(batch, 0), order):
                 held.append(np.unique(gram, return_counts=True))
-                if sum(len(g) for g, _ in held[1:]) > 2 * PIECE:
-                    held = [merged(held)]
-            if held:
-                gram, n = merged(held)
-                for lo in range(0, len(gram), 1 << 16):
-                    part = slice(lo, lo + (1 << 16))
-                    yield pa.RecordBatch.from_arrays([pa.array(gram[part]), pa.array(n[part])], names=["gram", "n"])
+                new += len(held[-1][0])
+                if new > HELD // 2:
+                    held, new = [merged(held)], 0
+                    if len(held[0][0]) > HELD:
+                        yield from emitted(held)
+                        held = []
+        if held:
+            yield from emitted(held)
 
     return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -181,14 +192,20 @@ def log_probabilities(wanted: DataFrame, tables: list[DataFrame]) -> DataFrame:
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, c`` over all of ``texts`` (one string column)."""
 
+    def emitted(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
         for batch in batches:
-            counts: Counter = Counter()
             for text in _texts(batch, 0):
                 counts.update(text.split())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"]
-            )
+                if len(counts) > HELD // 4:
+                    yield emitted(counts)
+                    counts.clear()
+        yield emitted(counts)
 
     return texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -220,6 +237,8 @@ def scored(
     repeated ids give a row each. Without a training row every probability is
     that of an empty model: one in 256 a byte, and 1 / 1 a word.
     """
+    if order > 5:
+        raise ValueError("a gram of more than six bytes and a row's number do not fit into one key")
     spark = docs.sparkSession
     held = F.coalesce(crc_bucket(id_col, 7) == 2, F.lit(False))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).cast("string").alias("text"))
@@ -245,29 +264,27 @@ def scored(
         for batch in (whole.slice(lo, ROWS) for whole in batches for lo in range(0, whole.num_rows, ROWS)):
             texts = _texts(batch, 2)
             score = np.zeros(len(texts))
-            none = np.zeros(0, np.int64)
-            rare_grams = [(none, none, none)]  # text, gram, how often
+            rare = []
+            bits = 8 * (order + 1)
             for gram, of in _positions(texts, order):
                 at = inside.find(gram)
                 there = at >= 0
                 score += np.bincount(of[there], weights=log_of[at[there]], minlength=len(texts))
-                gram, of = gram[~there], of[~there]
-                by = np.lexsort((gram, of))
-                gram, of = gram[by], of[by]
-                first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (of[1:] != of[:-1])])[: len(gram)])
-                rare_grams.append((of[first], gram[first], np.diff(first, append=len(gram))))
-            of, gram, times = (np.concatenate(x) for x in zip(*rare_grams))
+                # Both fit into one key, which sorts faster than two.
+                rare.append(np.unique(of[~there] << bits | gram[~there], return_counts=True))
+            of_gram, times = (np.concatenate(x) for x in zip(*rare)) if rare else (np.zeros(0, np.int64),) * 2
+            of, gram = of_gram >> bits, of_gram & ((1 << bits) - 1)
             cuts = pa.array(np.searchsorted(of, np.arange(len(texts) + 1)), pa.int32())
             n_tokens, n_known, base, rare_words, rare_n = [], [], [], [], []
             for text in texts:
-                found = Counter(text.split())
-                seen = [(logs[w], m) for w, m in found.items() if w in logs]
-                rest = [(w, m) for w, m in found.items() if w not in logs]
-                n_tokens.append(sum(found.values()) + 1)
-                n_known.append(sum(m for _, m in seen) + (n_docs > 0))
-                base.append(sum(x * m for x, m in seen) + end)
-                rare_words.append([w for w, _ in rest])
-                rare_n.append([m for _, m in rest])
+                words_ = text.split()
+                found = list(map(logs.get, words_))
+                rest = Counter(w for w, x in zip(words_, found) if x is None) if None in found else {}
+                n_tokens.append(len(words_) + 1)
+                n_known.append(len(words_) - sum(rest.values()) + (n_docs > 0))
+                base.append(sum(x for x in found if x is not None) + end)
+                rare_words.append(list(rest))
+                rare_n.append(list(rest.values()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1)]
                 + [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(score)]
