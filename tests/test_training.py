@@ -131,6 +131,12 @@ def test_forest_does_not_depend_on_input_layout(spark, rows):
         assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-9)
 
 
+def test_a_training_task_reads_no_more_from_a_larger_table(spark, rows):
+    counts = {n: R.training_layout(rows, "id", n).rdd.getNumPartitions() for n in (280, 630_000, 6_300_000, 37_800_000)}
+    assert counts[280] == R.FEWEST_PARTITIONS and counts[630_000] > R.FEWEST_PARTITIONS
+    assert all(n / parts <= 60_000 for n, parts in counts.items())
+
+
 def test_forest_beats_the_mean(spark, rows):
     prepared = training.prepare(rows, ROLES)
     done = training.train_and_evaluate(prepared, ROLES, [R.ForestConfig(2, 1), R.ForestConfig(10, 6)])
