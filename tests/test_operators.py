@@ -293,6 +293,18 @@ def test_positions_over_many_files(spark, tmp_path):
         M.attach_ids(read(values, "v long"), read(ids, "other long"), "record_id")
 
 
+def test_rows_of_a_task_are_bounded_when_ids_are_attached(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(0, 5000, 1, 2).select("id", (F.col("id") * 2).alias("v")).write.parquet(path)
+    monkeypatch.setattr(M, "ROWS_PER_PARTITION", 500)
+    files = spark.read.parquet(path)
+    joined = M.attach_ids(files.select("v"), files.select("id"), "id")
+    assert joined.count() == 5000 and joined.filter("v <> 2 * id").count() == 0
+    dealt = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(dealt) == 10 and max(dealt) < 1000
+    assert "hashpartitioning(_path" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_positions_survive_other_file_splits(spark, tmp_path):
     """Files cut in one way when the frame is built and in another when it runs."""
     values, ids = str(tmp_path / "values"), str(tmp_path / "ids")
