@@ -18,6 +18,10 @@ from ridgeline.sources.scratch import staged
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
 
+#: Rows whose words are numbered at a time, so that a worker holds the words of few texts.
+ROWS = 2048
+
+
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(WORDS).split()
 
@@ -79,7 +83,7 @@ def postings(docs: DataFrame, block: Block, slop: int, id_col: str, text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = vocabulary.value.get
-        for batch in batches:
+        for batch in (whole.slice(lo, ROWS) for whole in batches for lo in range(0, whole.num_rows, ROWS)):
             n_words, terms, positions = [], [], []
             for cell in batch.column(2):
                 words = words_of(cell.as_py())
@@ -153,6 +157,14 @@ class Searcher:
         return begun[loose], len(terms) + self.slop
 
 
+def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The union of spans, which overlap or touch, as spans that are parted; memory follows the spans, not the words."""
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    parted = starts[1:] > reach[:-1]
+    return starts[np.append(True, parted)], reach[np.append(parted, True)]
+
+
 def matches(index: DataFrame, block: Block, slop: int) -> DataFrame:
     """Per index row the hit words as merged spans ``starts, ends``, the ``items`` and the ``near_items``."""
     counts = index.select(F.explode("terms").alias("t")).groupBy("t").count()
@@ -173,18 +185,14 @@ def matches(index: DataFrame, block: Block, slop: int) -> DataFrame:
             sizes = np.diff(terms.offsets.to_numpy())
             own = np.repeat(np.arange(rows), sizes)
             exact, near = searcher.search(n_words, terms.flatten().to_numpy(), places.flatten().to_numpy() + base[own])
-            edge = np.zeros(int(base[-1]) + 1, np.int32)
             pairs: tuple[set, set] = (set(), set())
             for into, some in zip(pairs, (exact, near)):
-                for starts, length, items in some:
+                for starts, _, items in some:
                     for row in np.unique(np.searchsorted(base, starts, side="right") - 1).tolist():
                         into.update((row, i) for i in items)
-                    if into is pairs[0]:
-                        np.add.at(edge, starts, 1)
-                        np.add.at(edge, starts + length, -1)
-            hit = np.concatenate([[0], (np.cumsum(edge) > 0).astype(np.int8), [0]])
-            step = np.diff(hit)
-            begin, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+            begin = end = np.zeros(0, np.int64)
+            if exact:
+                begin, end = merged(np.concatenate([s for s, _, _ in exact]), np.concatenate([s + n for s, n, _ in exact]))
             of = np.searchsorted(base, begin, side="right") - 1
             cols: list[list] = [[[] for _ in range(rows)] for _ in range(4)]
             for row, a, b in zip(of.tolist(), begin.tolist(), end.tolist()):

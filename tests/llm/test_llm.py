@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ridgeline.llm import bpe, decontamination, embeddings, htmltext, langid, linededup, pii, ppm, queries, simhash, toxicity
@@ -233,6 +234,37 @@ def test_embeddings(spark, monkeypatch):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_merged_spans_against_brute_force():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        starts = rng.integers(0, 60, rng.integers(1, 12))
+        ends = starts + rng.integers(1, 9, len(starts))
+        hit = np.zeros(80, bool)
+        for a, b in zip(starts, ends):
+            hit[a:b] = True
+        step = np.diff(np.concatenate([[False], hit]).astype(int))
+        begin, end = decontamination.merged(starts, ends)
+        assert begin.tolist() == np.flatnonzero(step == 1).tolist() and end.tolist() == np.flatnonzero(step == -1).tolist()
+
+
+def test_contamination_does_not_depend_on_the_rows_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "ROWS", 100)
+    docs = spark.range(0, 250, 1, 1).select(F.col("id").alias("doc_id"), F.lit("alpha beta gamma").alias("text"))
+    found = decontamination.contamination(docs, spark.createDataFrame([(1, "beta gamma")], "item_id long, text string"), 2)
+    assert found.filter("n_hit = 2 and starts[0] = 1 and ends[0] = 3").count() == 250
+
+
+def test_grams_against_brute_force(monkeypatch):
+    monkeypatch.setattr(ppm, "PIECE", 7)
+    texts = [b"abcdefgh" * 3, b"", b"x", b"", b"yz" * 9, b""]
+    got = [(int(n), int(g)) for gram, of in ppm._positions(texts, 5) for g, n in zip(gram, of)]
+    want = []
+    for n, text in enumerate(texts):
+        raw = bytes([ppm.END]) * 5 + text + bytes([ppm.END])
+        want += [(n, int.from_bytes(raw[i : i + 6], "big")) for i in range(len(raw) - 5)]
+    assert sorted(got) == sorted(want)
+
+
 def test_ppm(spark):
     rng = np.random.default_rng(2)
     syllables = ["an", "be", "co", "du", "é", "F"]
