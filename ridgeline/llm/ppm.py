@@ -85,10 +85,13 @@ def _positions(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.
         at = starts + np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         for lo in range(0, len(at), PIECE):
             place = at[lo : lo + PIECE]
-            gram = raw[place].astype(np.int64)
-            for back in range(1, order + 1):
-                gram |= raw[place - back].astype(np.int64) << np.int64(8 * back)
-            yield gram, of[lo : lo + PIECE]
+            # Of every byte of the stretch, in order; the few between two texts are left out at the end.
+            begin, end = int(place[0]), int(place[-1]) + 1
+            gram = raw[begin - order : end - order].astype(np.int64)
+            for back in range(order - 1, -1, -1):
+                gram <<= 8
+                gram |= raw[begin - back : end - back]
+            yield gram[place - begin], of[lo : lo + PIECE]
         first, size, held = n + 1, 0, []
 
 
