@@ -226,17 +226,19 @@ def main_text(source: str | None, s: Settings = Settings()) -> str:
     A block of lines runs from where the text length summed over ``window`` lines
     surges to where it dives, and back to the dive before it. Lines with half or
     more of their text in links count for nothing, but stay if they lie inside a
-    block. Where an article or main element has text, only its lines count, and
-    with all of their text, so a block ends where the article does. Blocks that
+    block. Of article and main elements with text those are taken whole, and
+    nothing else, that a block reaches: one of links alone is a menu. Blocks that
     are parted by such lines only, inside one element of the page or by few, are
     one. If nothing surges, all lines that count are the text.
     """
     lines, mains = lines_of(source or "")
-    if any(line.region in mains for line in lines):
-        lines = [line for line in lines if line.region in mains]
-        sizes = [len(line.text) for line in lines]
-    else:
-        sizes = [len(line.text) - line.linked if 2 * line.linked < len(line.text) else 0 for line in lines]
+    inside = [line for line in lines if line.region in mains]
+    sizes = [len(line.text) - line.linked if 2 * line.linked < len(line.text) else 0 for line in inside or lines]
+    if inside:
+        # Regions of one outermost element follow each other without a gap.
+        unit = {region: region - place for place, region in enumerate(sorted(mains))}
+        reached = {unit[line.region] for a, b in _blocks(sizes, s) for line in inside[a:b]}
+        return "\n".join(line.text for line in inside if not reached or unit[line.region] in reached)
     joined: list[tuple[int, int]] = []
     for a, b in _blocks(sizes, s):
         if joined:

@@ -376,6 +376,9 @@ SOURCES = [f"Source number {i}" for i in range(4)]
         (f"<article><p>{P1}</article><div class=related><article><p>{P2[:50]}</article></div>", [P1]),
         (f"<p>{P1}<p hidden>{P2}<div style='display: none'>{P3}</div>", [P1]),
         ("<p>short<p>lines", ["short", "lines"]),
+        (f"<article><p>{P1}{LINKS}</article><article><h2><a href=/o>Another story of the day</a></h2></article>", [P1, *SOURCES]),
+        (f"<main><p>a<article><p>{P1}</article>{LINKS}</main><article>{MENU}</article>", ["a", P1, *SOURCES]),
+        (f"<article>{LINKS}</article>", SOURCES),
     ],
 )
 def test_html_keeps_the_whole_article(page, lines):
