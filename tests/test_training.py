@@ -137,6 +137,18 @@ def test_a_training_task_reads_no_more_from_a_larger_table(spark, rows):
     assert all(n / parts <= 60_000 for n, parts in counts.items())
 
 
+def test_like_rows_lie_side_by_side_and_none_is_lost(spark, rows):
+    orders = []
+    for source in (rows.repartition(3), rows.repartition(7, "z")):
+        laid = training.training_rows(training.prepare(source, ROLES), ROLES)
+        parts = laid.select("id", "y").rdd.glom().collect()
+        assert sorted(r["id"] for part in parts for r in part) == list(range(280))
+        orders.append([[r["id"] for r in part] for part in parts])
+    assert orders[0] == orders[1]
+    steps = lambda part: sum(abs(a["y"] - b["y"]) for a, b in zip(part, part[1:]))
+    assert sum(map(steps, parts)) < sum(steps(sorted(part)) for part in parts) / 3
+
+
 def test_forest_beats_the_mean(spark, rows):
     prepared = training.prepare(rows, ROLES)
     done = training.train_and_evaluate(prepared, ROLES, [R.ForestConfig(2, 1), R.ForestConfig(10, 6)])
