@@ -20,6 +20,8 @@ from ridgeline.llm.common import Digests, DistinctTable, runs, slices
 #: Pre-tokens that are looked up at a time, and distinct ones that a worker remembers.
 PIECES = 1 << 17
 REMEMBERED = 600_000
+#: Texts that are encoded at a time, so that a worker holds the ids and digests of few.
+ROWS = 512
 
 
 class MinimalPerfectHash:
@@ -196,7 +198,7 @@ def encoded(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             texts = batch.column(1).to_pylist()
             done = Digests(len(texts))
             kept: list[list[np.ndarray]] = [[] for _ in texts] if with_ids else []

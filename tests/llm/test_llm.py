@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -111,6 +112,18 @@ def test_bpe_edges(spark, monkeypatch):
     assert bpe.encoded(docs_of(spark, []), queries.VOCABULARY, queries.PATTERN).count() == 0
 
 
+def test_bpe_holds_the_ids_of_few_texts(spark, monkeypatch):
+    docs, run, seen, encode = docs_of(spark, []), [], [], bpe.Codec.encode
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: run.append(f))
+    bpe.encoded(docs, queries.VOCABULARY, queries.PATTERN, with_ids=True)
+    monkeypatch.setattr(bpe.Codec, "encode", lambda self, texts: seen.append(len(texts)) or encode(self, texts))
+    texts = [None if i % 7 == 0 else f"text {i}" for i in range(1100)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1100), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    out = pa.Table.from_batches(run[0](iter([batch.slice(0, 0), batch])))
+    assert out.column("doc_id").to_pylist() == list(range(1100)) and all(out.column("decodes").to_pylist())
+    assert max(seen) <= 512 and sum(seen) == 1100
+
+
 def contamination_of(texts, items):
     def words(t):
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
