@@ -1,11 +1,14 @@
 import json
 
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from ridgeline.model import TURBINE, Roles
 from ridgeline.operators import features as X
+from ridgeline.operators import forest
 from ridgeline.operators import quality as Q
 from ridgeline.operators import regression as R
 from ridgeline.plans import comparison, profile, training
@@ -162,6 +165,89 @@ def test_forest_beats_the_mean(spark, rows):
     assert [r["split"] for r in training.baseline(prepared, ROLES, R.ForestConfig(2, 2)).collect()] == ["train", "validation"]
 
 
+@pytest.fixture(scope="module")
+def vectors(spark):
+    """3,000 rows with gaps, negative numbers, flags, and a label of whole numbers; dense and sparse vectors."""
+    i = F.col("id")
+    numbers = [(i % 17 - 5).cast("double"), F.round(F.rand(1) * 8 - 2, 2), (i % 3 == 0).cast("double"), (i % 5 == 1).cast("double"), F.lit(7.0)]
+    df = spark.range(3000).select("id", *[v.alias(f"v{n}") for n, v in enumerate(numbers)])
+    df = df.withColumn("y", F.round(F.col("v0") * F.col("v1") + F.col("v2") * 10 + F.rand(3) * 4))
+    df = VectorAssembler(inputCols=[f"v{n}" for n in range(5)], outputCol="features").transform(df)
+    with R.kept(R.training_layout(df, "id", 3000)) as laid:
+        yield laid
+
+
+def shape(tree):
+    return tree.toDebugString.split("\n")[1:]
+
+
+def test_a_tree_is_the_one_that_spark_ml_grows(spark, vectors):
+    asked = dict(labelCol="y", maxDepth=6, minInstancesPerNode=3)
+    theirs = DecisionTreeRegressor(**asked).fit(vectors)
+    with forest.binned(vectors, "y") as table:
+        ours = forest.fit(table, RandomForestRegressor(numTrees=1, bootstrap=False, **asked)).trees[0]
+    assert shape(ours) == shape(theirs) and ours.numNodes > 50
+    assert ours.featureImportances.toArray().tolist() == pytest.approx(theirs.featureImportances.toArray().tolist())
+
+
+def test_a_forest_is_as_good_as_that_of_spark_ml(spark, vectors):
+    theirs = RandomForestRegressor(labelCol="y", numTrees=30, maxDepth=6, seed=1).fit(vectors)
+    ours = R.fit_forest(vectors, R.ForestConfig(30, 6), "y", seed=1)
+    rmse = [R.regression_metrics(m.transform(vectors), "y", "prediction").first()["RMSE"] for m in (ours, theirs)]
+    assert rmse[0] == pytest.approx(rmse[1], rel=0.1)
+    assert ours.getNumTrees == 30 and max(t.depth for t in ours.trees) == 6 and len({tuple(shape(t)) for t in ours.trees}) == 30
+    assert sum(t.featureImportances.toArray()[4] for t in ours.trees) == 0  # a number that never varies
+
+
+def test_a_forest_does_not_depend_on_tasks_and_chunks(spark, vectors, monkeypatch):
+    """Sums meet in any order and size: the same splits, thresholds and predictions."""
+    shapes = []
+    for tasks in (8, 1, 3):
+        with forest.binned(vectors, "y") as table:
+            table.blocks = table.blocks.coalesce(tasks)
+            shapes.append([shape(t) for t in R.fit_forest(table, R.ForestConfig(4, None, 2), "y").trees])
+    assert shapes[0] == shapes[1] == shapes[2]
+    whole = []  # one tree, which may split on every feature
+    for cells in (1 << 20, 500):
+        monkeypatch.setattr(forest, "CELLS", cells)
+        with forest.binned(vectors, "y") as table:
+            whole.append(shape(R.fit_forest(table, R.ForestConfig(1, None, 2), "y").trees[0]))
+    assert whole[0] == whole[1]
+
+
+def test_a_search_bins_its_rows_once(spark, rows, monkeypatch):
+    real, calls = R.binned, []
+    monkeypatch.setattr(R, "binned", lambda *a, **k: calls.append(a) or real(*a, **k))
+    prepared = training.prepare(rows, ROLES)
+    with R.kept(training.training_rows(prepared, ROLES)) as train:
+        R.grid_search(train, prepared.split("validation"), [R.ForestConfig(2, 1), R.ForestConfig(3, 2)], "y")
+    assert len(calls) == 1
+
+
+def test_many_values_are_described_by_all_rows(spark):
+    """Thresholds of some 39,600 distinct values lie at equal shares of the rows, zeros counted; few values are all cut."""
+    x = F.when(F.col("id") % 100 == 0, 0.0).otherwise(F.col("id") * 0.5 - 8000)
+    df = spark.range(40_000).select("id", x.alias("x"), (F.col("id") % 5).cast("double").alias("z"))
+    df = VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(df).withColumn("y", F.col("x"))
+    with R.kept(df.repartition(8, "id")) as laid, forest.binned(laid, "y") as table:
+        cuts = [table.bins.thresholds[a:b] for a, b in zip(table.bins.cuts[:-1], table.bins.cuts[1:])]
+    assert cuts[1].tolist() == [0.5, 1.5, 2.5, 3.5]
+    ranks = [df.filter(F.col("x") <= float(c)).count() / 40_000 for c in cuts[0]]
+    assert ranks == pytest.approx([i / 32 for i in range(1, 32)], abs=0.006)
+
+
+def test_labels_and_vectors_of_a_forest_are_numbers(spark, vectors):
+    for label in (None, float("nan"), float("inf")):
+        bad = vectors.withColumn("y", F.when(F.col("id") == 5, F.lit(label).cast("double")).otherwise(F.col("y")))
+        with pytest.raises(ValueError, match="1 labels and 0 vectors"):
+            R.fit_forest(bad, R.ForestConfig(1, 1), "y")
+    with pytest.raises(ValueError, match="needs training rows"):
+        R.fit_forest(vectors.limit(0), R.ForestConfig(1, 1), "y")
+    # Three rows: some bootstraps draw none.
+    few = R.fit_forest(vectors.filter("id < 3"), R.ForestConfig(60, 3), "y")
+    assert few.getNumTrees == 60 and few.transform(vectors.filter("id < 3")).filter("prediction is null or isnan(prediction)").count() == 0
+
+
 def test_unlimited_depth_is_the_deepest(spark, rows):
     prepared = training.prepare(rows, ROLES)
     model = R.fit_forest(training.training_rows(prepared, ROLES), R.ForestConfig(1, None, 150), "y")
