@@ -37,6 +37,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROWS_PER_TASK = 600_000
 # Sums of one tree that a task holds at a time; nodes beyond them are summed after.
 CELLS = 1 << 20
+# Rows that are added up at a time, where the sums are few; their columns fit the core's memory.
+STRIP = 32_768
 # Values by which a block of rows describes a feature that has more: each stands for
 # as many rows as any other, and together for all.
 POINTS = 1024
@@ -339,17 +341,25 @@ def feature_mask(growth: Growth, tree: int, depth: int, chunk: int, nodes: int)
     return mask
 
 
-def _per_cell(codes: np.ndarray, at: np.ndarray, base: np.ndarray, values: tuple[np.ndarray, ...], cells: int) -> list[np.ndarray]:
-    """``values`` of the rows ``at`` added up per cell, once for every entry of a row."""
-    if cells * 8 < len(at):  # a column at a time stays in the core's memory, if its table is small beside it
-        out = [np.zeros(cells) for _ in values]
-        for column in codes:
-            key = base + column[at]
-            for table, v in zip(out, values):
-                table += np.bincount(key, v, cells)
-        return out
-    key = (np.take(codes, at, axis=1) + base).ravel()
-    return [np.bincount(key, np.broadcast_to(v, (len(codes), len(v))).ravel(), cells) for v in values]
+def _tables(rows: tuple, weights: np.ndarray, nodes: np.ndarray, at: np.ndarray, first: int, size: int, stride: int) -> list[np.ndarray]:
+    """The rows ``at`` added up, a strip at a time, so that what is worked on stays in the core's memory.
+
+    Per node from ``first`` on: weights, labels in units, labels, squares. Per
+    node and cell, if there is a ``stride``: weights and labels in units.
+    """
+    codes, label, whole = rows
+    out: list[np.ndarray] = []
+    step = max(STRIP, size * stride // 4)
+    for start in range(0, len(at), step):
+        part = at[start : start + step]
+        node, w, y = nodes[part].astype(np.int64) - first, weights[part].astype(float), label[part]
+        units = w * whole[part]
+        found = [np.bincount(node, v, size) for v in (w, units, w * y, w * y * y)]
+        if stride:
+            key = (np.take(codes, part, axis=1) + node * stride).ravel()
+            found += [np.bincount(key, np.broadcast_to(v, (len(codes), len(v))).ravel(), size * stride) for v in (w, units)]
+        out = [np.add(x, y, out=x) for x, y in zip(out, found)] if out else found
+    return out
 
 
 def _summed(shared: Broadcast, active: dict[int, int], depth: int, split: bool):
@@ -361,7 +371,7 @@ def _summed(shared: Broadcast, active: dict[int, int], depth: int, split: bool):
         if rows is None:
             return
         _, codes, label = rows
-        whole, stride = np.rint(label / growth.unit), growth.bins.cells + 1
+        own, stride = (codes, label, np.rint(label / growth.unit)), (growth.bins.cells + 1) * split
         for tree, weights, nodes in records:
             count = active.get(tree, 0)
             live = np.flatnonzero(nodes != np.iinfo(nodes.dtype).max)
@@ -376,14 +386,12 @@ def _summed(shared: Broadcast, active: dict[int, int], depth: int, split: bool):
                 if not len(at):
                     continue
                 size = min(growth.chunk, count - number * growth.chunk)
-                node = nodes[at].astype(np.int64) - number * growth.chunk
-                w, y = weights[at].astype(float), label[at]
-                units = w * whole[at]
-                per_node = [np.bincount(node, v, size) for v in (w, units, w * y, w * y * y)]
+                tables = _tables(own, weights, nodes, at, number * growth.chunk, size, stride)
+                per_node, cells = tables[:4], tables[4:]
                 if split:
                     mask = feature_mask(growth, tree, depth, number, size)
                     kept = slice(None) if mask is None else mask[:, growth.bins.feature]
-                    cells = [t.reshape(size, stride)[:, :-1][kept].ravel() for t in _per_cell(codes, at, node * stride, (w, units), size * stride)]
+                    cells = [c.reshape(size, stride)[:, :-1][kept].ravel() for c in cells]
                 yield (tree, number), (_packed(per_node), _packed(cells) if split else None)
 
     return add_up
