@@ -236,6 +236,24 @@ def test_many_values_are_described_by_all_rows(spark):
     assert ranks == pytest.approx([i / 32 for i in range(1, 32)], abs=0.006)
 
 
+@pytest.mark.parametrize("width", [1_000, 2])
+def test_like_rows_are_scored_side_by_side_and_none_is_lost(spark, rows, monkeypatch, width):
+    monkeypatch.setattr(R, "FULL_WIDTH", width)
+    prepared = training.prepare(rows, ROLES)
+    with R.kept(training.training_rows(prepared, ROLES)) as train:
+        model = R.fit_forest(train, R.ForestConfig(6, 5), "y")
+    source = prepared.rows.repartition(2, "id").sortWithinPartitions("id")
+    got, plain = R.predicted(model, source), model.transform(source)
+    assert got.columns == plain.columns
+    values = lambda df: {r["id"]: (r["y"], r["split"], r["features"], r["prediction"]) for r in df.collect()}
+    assert values(got) == values(plain) and len(values(got)) == 400
+    laid = R.laid_for_scoring(source, model, "_vector")
+    kinds = {type(r["_vector"]).__name__ for r in laid.collect()}
+    assert kinds == ({"DenseVector"} if width == 1_000 else {"SparseVector"})
+    steps = lambda df: sum(abs(a["y"] - b["y"]) for part in df.rdd.glom().collect() for a, b in zip(part, part[1:]))
+    assert steps(laid) < steps(source) / 2
+
+
 def test_labels_and_vectors_of_a_forest_are_numbers(spark, vectors):
     for label in (None, float("nan"), float("inf")):
         bad = vectors.withColumn("y", F.when(F.col("id") == 5, F.lit(label).cast("double")).otherwise(F.col("y")))
